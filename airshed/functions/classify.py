@@ -112,25 +112,32 @@ def _chain(cases: list[tuple[Column, object]], otherwise: object) -> Column:
     return out.otherwise(F.lit(otherwise))
 
 
-def _aqi_cases(aqi: Column, pick: int) -> list[tuple[Column, object]]:
-    cases = [(aqi.between(lo, hi), (cat, code, impact)[pick]) for lo, hi, cat, code, impact in AQI_RANGES]
-    cases.append((aqi > AQI_ABOVE[0], AQI_ABOVE[1 + pick]))
-    return cases
+def aqi_category_code(aqi: Column | str) -> Column:
+    """Category code 1..6 (Good .. Hazardous), else 0 (Unknown, gaps, NULL)."""
+    a = _col(aqi)
+    cases = [(a.between(lo, hi), code) for lo, hi, _, code, _ in AQI_RANGES]
+    cases.append((a > AQI_ABOVE[0], AQI_ABOVE[2]))
+    return _chain(cases, AQI_OTHER[1]).cast("bigint")
 
 
-def aqi_category(aqi: Column | str) -> Column:
-    """EPA category; values in the gaps between integer ranges are 'Unknown'."""
-    return _chain(_aqi_cases(_col(aqi), 0), AQI_OTHER[0])
+def _by_code(code: Column, labels: list[str]) -> Column:
+    """Label of a category code: one array lookup instead of a second CASE chain."""
+    return F.element_at(F.array(*[F.lit(x) for x in labels]), (code + 1).cast("int"))
 
 
-def aqi_category_code(aqi: Column | str) -> Column:
-    """Category code 1..6, else 0."""
-    return _chain(_aqi_cases(_col(aqi), 1), AQI_OTHER[1]).cast("bigint")
+AQI_CATEGORY_BY_CODE = [AQI_OTHER[0]] + [r[2] for r in AQI_RANGES] + [AQI_ABOVE[1]]
+HEALTH_IMPACT_BY_CODE = [AQI_OTHER[2]] + [r[4] for r in AQI_RANGES] + [AQI_ABOVE[3]]
+
+
+def aqi_category(aqi: Column | str, code: Column | None = None) -> Column:
+    """EPA category; values in the gaps between integer ranges are 'Unknown'.
+    Pass an already computed `code` to avoid classifying twice."""
+    return _by_code(aqi_category_code(aqi) if code is None else code, AQI_CATEGORY_BY_CODE)
 
 
-def health_impact_level(aqi: Column | str) -> Column:
+def health_impact_level(aqi: Column | str, code: Column | None = None) -> Column:
     """Health impact label."""
-    return _chain(_aqi_cases(_col(aqi), 2), AQI_OTHER[2])
+    return _by_code(aqi_category_code(aqi) if code is None else code, HEALTH_IMPACT_BY_CODE)
 
 
 def primary_pollutant(prefix: str = "") -> Column:

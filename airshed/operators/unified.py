@@ -18,6 +18,9 @@ BASE_COLUMNS = (
 )
 
 
+CLASS_COLUMNS = ["aqi_category", "aqi_category_code", "health_impact_level", "primary_pollutant", "pollution_level", "time_of_day"]
+
+
 def _align(df: DataFrame, prefix: str) -> DataFrame:
     """The staged columns under the unified names."""
     return df.select(
@@ -37,15 +40,17 @@ def _align(df: DataFrame, prefix: str) -> DataFrame:
 
 def classify(df: DataFrame, fix_night: bool = False) -> DataFrame:
     """Append the six class columns to a unified-shaped frame."""
-    return df.select(
+    coded = df.select("*", C.aqi_category_code("aqi").alias("aqi_category_code"))
+    code = F.col("aqi_category_code")
+    out = coded.select(
         "*",
-        C.aqi_category("aqi").alias("aqi_category"),
-        C.aqi_category_code("aqi").alias("aqi_category_code"),
-        C.health_impact_level("aqi").alias("health_impact_level"),
+        C.aqi_category("aqi", code).alias("aqi_category"),
+        C.health_impact_level("aqi", code).alias("health_impact_level"),
         C.primary_pollutant().alias("primary_pollutant"),
         C.pollution_level("aqi").alias("pollution_level"),
         C.time_of_day("measurement_hour", fix_night).alias("time_of_day"),
     )
+    return out.select(*df.columns, *CLASS_COLUMNS)
 
 
 def unify(historical: DataFrame, current: DataFrame, forecast: DataFrame, fix_night: bool = False) -> DataFrame:

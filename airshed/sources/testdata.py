@@ -23,20 +23,42 @@ FORECAST_EVENTS = ("signup", "error")
 COMPONENT_MODULI = [("co", 127), ("no", 31), ("no2", 109), ("o3", 113), ("so2", 83), ("pm2_5", 53), ("pm10", 163), ("nh3", 211)]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A table handle, created once per session (like a catalog entry): the footer is
+    read once, the data on every execution."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
+
+
+def geography(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nation -> region. Both are the fixed 25 / 5-row TPC-H dimensions at every
+    scale factor, so broadcasting them is size-safe."""
+    n = table(spark, sf_dir, "nation")
+    r = table(spark, sf_dir, "region")
+    return n.join(F.broadcast(r), n["n_regionkey"] == r["r_regionkey"]).select(
+        F.col("n_nationkey"), F.col("n_name"), F.col("r_name")
+    )
 
 
-def city_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """customer key -> (country, city, nation key). nation and region are the fixed
-    25 / 5-row TPC-H dimensions, so broadcasting them is size-safe."""
-    geo = table(spark, sf_dir, "nation").join(
-        F.broadcast(table(spark, sf_dir, "region")), F.col("n_regionkey") == F.col("r_regionkey")
+def with_city(facts: DataFrame, spark: SparkSession, sf_dir: str, cust_col: str) -> DataFrame:
+    """Attach (country, city, nation) to fact rows by customer key.
+
+    The facts join customer first; customer grows with the scale factor, so that join
+    is left to Spark's size-checked choice (broadcast while small, sort-merge beyond).
+    Only the fixed-size geography is broadcast explicitly.
+    """
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    df = facts.join(c, F.col(cust_col) == F.col("c_custkey")).join(
+        F.broadcast(geography(spark, sf_dir)), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return table(spark, sf_dir, "customer").join(
-        F.broadcast(geo), F.col("c_nationkey") == F.col("n_nationkey")
-    ).select(
-        F.col("c_custkey"),
+    return df.select(
+        "*",
         F.col("r_name").alias("country"),
         F.concat(F.col("n_name"), F.lit("_"), (F.col("c_custkey") % 2).cast("string")).alias("city"),
         F.col("n_nationkey").cast("bigint").alias("nation"),
@@ -72,7 +94,7 @@ def historical_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
     k = F.col("o_orderkey")
     price = F.col("o_totalprice") / F.lit(1000.0)
-    df = o.join(city_keys(spark, sf_dir), F.col("o_custkey") == F.col("c_custkey"))
+    df = with_city(o, spark, sf_dir, "o_custkey")
     return df.select(
         F.timestamp_seconds(_epoch(F.col("o_orderdate")) + 86400).alias("ingestion_timestamp"),
         "country",
@@ -96,7 +118,7 @@ def _event_feed(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...], ingest
     e = table(spark, sf_dir, "events").filter(F.col("event_type").isin(*kinds))
     e = e.select("event_id", "ts", "user_id", "value")
     k = F.col("event_id")
-    df = e.join(city_keys(spark, sf_dir), F.col("user_id") == F.col("c_custkey"))
+    df = with_city(e, spark, sf_dir, "user_id")
     return df.select(
         ingestion.alias("ingestion_timestamp"),
         "country",
