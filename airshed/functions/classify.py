@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from airshed.functions.numeric import ratio, round2
+from airshed.functions.numeric import percentage, ratio, round2  # noqa: F401
 
 # ---------------------------------------------------------------------------
 # Fixed values. They must equal the published models' values for equal results.

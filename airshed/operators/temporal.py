@@ -128,21 +128,47 @@ def weekday_weekend(weekday: DataFrame) -> DataFrame:
 
 def temporal_patterns(unified: DataFrame) -> DataFrame:
     """The temporal mart: seasons with peak hours and weekday/weekend means, ranked
-    by cleanliness within (country, year); ties -> city, then season order."""
+    by cleanliness within (country, year); ties -> city, then season order.
+
+    One pass over the cells: a GROUPING SETS aggregate yields the seasonal, hourly and
+    weekday rows together, and a per-city window hands each seasonal row its city's
+    peak / best hour and weekday / weekend maxima (the published LEFT JOINs on
+    country, city). The raw history is scanned and shuffled once; every later step
+    works on at most a few hundred rows per city.
+    """
     cells = temporal_cells(unified)
-    s = seasonal_analysis(cells)
-    p = peak_hours(hourly_patterns(cells)).drop("max_hourly_avg_aqi")
-    c = weekday_weekend(weekday_patterns(cells))
-    w = Window.partitionBy("country", "measurement_year").orderBy(
-        round_dp("seasonal_avg_aqi", 6), "city", C.season_order("season")
+    season_set = ["country", "city", "season", "measurement_year"]
+    hour_set = ["country", "city", "measurement_hour", "time_of_day"]
+    dow_set = ["country", "city", "measurement_day_of_week"]
+    keys = ["country", "city", "season", "measurement_year", "measurement_hour", "time_of_day", "measurement_day_of_week"]
+    g = cells.groupingSets([season_set, hour_set, dow_set], *keys).agg(
+        (F.grouping("measurement_year") == 0).alias("_is_season"),
+        (F.grouping("measurement_hour") == 0).alias("_is_hour"),
+        (F.grouping("measurement_day_of_week") == 0).alias("_is_dow"),
+        F.avg("avg_aqi").alias("_avg_aqi"),
+        F.avg("aqi_stddev").alias("seasonal_aqi_variability"),
+        F.avg("avg_pm25").alias("seasonal_avg_pm25"),
+        F.avg("avg_pm10").alias("seasonal_avg_pm10"),
+        percentage(F.sum("unhealthy_measurements"), F.sum("total_measurements")).alias("seasonal_unhealthy_percentage"),
     )
-    out = s.join(p, ["country", "city"], "left").join(c, ["country", "city"], "left")
-    return out.select(
+    city = Window.partitionBy("country", "city")
+    v, h = round_dp("_avg_aqi", 6), F.col("measurement_hour")
+    is_hour, is_dow = F.col("_is_hour"), F.col("_is_dow")
+    dtype = C.day_type("measurement_day_of_week")
+    per_city = g.select(
+        "*",
+        F.max_by(h, F.when(is_hour, F.struct(v, -h))).over(city).alias("peak_pollution_hour"),
+        F.min_by(h, F.when(is_hour, F.struct(v, h))).over(city).alias("best_air_quality_hour"),
+        F.max(F.when(is_dow & (dtype == "Weekday"), F.col("_avg_aqi"))).over(city).alias("weekday_avg_aqi"),
+        F.max(F.when(is_dow & (dtype == "Weekend"), F.col("_avg_aqi"))).over(city).alias("weekend_avg_aqi"),
+    ).filter(F.col("_is_season"))
+    w = Window.partitionBy("country", "measurement_year").orderBy(v, "city", C.season_order("season"))
+    return per_city.select(
         "country",
         "city",
         "season",
         "measurement_year",
-        "seasonal_avg_aqi",
+        F.col("_avg_aqi").alias("seasonal_avg_aqi"),
         "seasonal_aqi_variability",
         "seasonal_avg_pm25",
         "seasonal_avg_pm10",
