@@ -23,10 +23,13 @@ def plan_chunks(cities: DataFrame, start: Column | str | int, end: Column | str
     """
     step = days * 24 * 3600
     s, e = _c(start), _c(end)
-    with_range = cities.select("*", s.alias("_start"), e.alias("_end")).filter(F.col("_start") < F.col("_end"))
-    starts = F.sequence(F.col("_start"), F.col("_end") - 1, F.lit(step).cast("bigint"))
+    with_range = cities.select("*", s.alias("_start"), e.alias("_end"))
+    # Spark's sequence raises on an empty range (start > stop), so the stop is never
+    # below the start and the one spurious chunk of an empty range is filtered out.
+    stop = F.greatest(F.col("_end") - 1, F.col("_start"))
+    starts = F.sequence(F.col("_start"), stop, F.lit(step).cast("bigint"))
     exploded = with_range.select("*", F.posexplode(starts).alias("_pos", "chunk_start"))
-    return exploded.select(
+    return exploded.filter(F.col("chunk_start") < F.col("_end")).select(
         *[c for c in cities.columns],
         (F.col("_pos") + 1).cast("bigint").alias("chunk"),
         F.col("chunk_start"),
