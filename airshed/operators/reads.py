@@ -15,6 +15,20 @@ PREVIEW_ROWS = 20
 TOP_N_DEFAULT, TOP_N_MIN, TOP_N_MAX = 10, 5, 50
 
 
+def in_published_order(df: DataFrame, mart: str) -> DataFrame:
+    """A mart in the order its model declares. A read-time sort (range
+    partitioned, parallel); published tables are only clustered within files."""
+    from airshed.functions.classify import season_order
+
+    orders = {
+        "fct_daily_air_quality_summary": ["country", "city", "measurement_date"],
+        "city_air_quality_rankings": [F.col("measurement_year").desc(), F.col("measurement_month").desc(), "global_aqi_rank"],
+        "forecast_accuracy_analysis": ["country", "city", "forecast_lead_time_hours"],
+        "temporal_air_quality_patterns": ["country", "city", "measurement_year", season_order("season")],
+    }
+    return df.orderBy(*orders[mart])
+
+
 def newest_first(df: DataFrame, order: str, limit: int = MART_ROW_CAP, tie: Sequence[str] = ()) -> DataFrame:
     """Newest rows first, capped. orderBy + limit plans as a top-k
     (TakeOrderedAndProject): each task keeps `limit` rows, nothing is fully sorted."""

@@ -22,25 +22,21 @@ def land_historical(df: DataFrame, root: str) -> str:
     return path
 
 
-def _land_daily(df: DataFrame, root: str, name: str) -> str:
+def _land_daily(df: DataFrame, root: str, name: str, append_runs: bool) -> str:
     path = os.path.join(root, name)
-    (
-        df.select(*RAW_COLUMNS, F.to_date("ingestion_timestamp").alias("ingest_date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("country", "ingest_date")
-        .json(path)
-    )
+    w = df.select(*RAW_COLUMNS, F.to_date("ingestion_timestamp").alias("ingest_date")).write
+    w = w.mode("append") if append_runs else w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.partitionBy("country", "ingest_date").json(path)
     return path
 
 
-def land_current(df: DataFrame, root: str) -> str:
+def land_current(df: DataFrame, root: str, append_runs: bool = False) -> str:
     """K2: current readings keyed (country, UTC ingestion date). A later run on the
     same day replaces that day's folder for that country; other days survive
-    (dynamic partition overwrite)."""
-    return _land_daily(df, root, "current")
+    (dynamic partition overwrite). append_runs=True keeps every run (H14)."""
+    return _land_daily(df, root, "current", append_runs)
 
 
-def land_forecast(df: DataFrame, root: str) -> str:
+def land_forecast(df: DataFrame, root: str, append_runs: bool = False) -> str:
     """K3: forecasts, keyed and overwritten like K2."""
-    return _land_daily(df, root, "forecast")
+    return _land_daily(df, root, "forecast", append_runs)

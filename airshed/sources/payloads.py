@@ -20,7 +20,8 @@ CONTEXT = ["country", "city", "lat", "lon"]
 def _prepare(payloads: DataFrame, cities: DataFrame | None) -> DataFrame:
     df = payloads
     if cities is not None and not {"lat", "lon"} <= set(df.columns):
-        df = df.join(F.broadcast(cities.select(*CONTEXT)), ["country", "city"], "left")
+        # No hint: Spark broadcasts the city table only while its size estimate allows.
+        df = df.join(cities.select(*CONTEXT), ["country", "city"], "left")
     if "ingestion_timestamp" not in df.columns:
         df = df.withColumn("ingestion_timestamp", F.current_timestamp())
     return df.withColumn("_r", F.from_json(F.col("response"), API_RESPONSE))

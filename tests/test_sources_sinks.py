@@ -156,3 +156,18 @@ def test_long_fact_layout(spark, tmp_dir):
     path = os.path.join(tmp_dir, "fact_long")
     publish.write_fact_long(long, path)
     assert os.listdir(path).count("date_local_day=2024-01-01") == 1
+
+
+def test_current_landing_can_keep_every_run(spark, tmp_dir):
+    landing.land_current(raw_rows(spark, [rec(T0, "UK", "London", 1, 1.0)]), tmp_dir)
+    landing.land_current(raw_rows(spark, [rec(T1, "UK", "London", 3, 3.0)]), tmp_dir, append_runs=True)
+    assert raw.read_current(spark, tmp_dir).count() == 2
+
+
+def test_published_orders(spark):
+    from airshed.operators import reads
+
+    df = spark.createDataFrame([("A", "x", 2024, "Fall"), ("A", "x", 2024, "Winter"), ("A", "x", 2024, "Summer")],
+                               "country string, city string, measurement_year int, season string")
+    got = [r.season for r in reads.in_published_order(df, "temporal_air_quality_patterns").collect()]
+    assert got == ["Winter", "Summer", "Fall"]
