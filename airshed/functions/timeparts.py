@@ -6,19 +6,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+SECONDS_PER_DAY = 86400
+THURSDAY = 5  # 1970-01-01, in dayofweek numbering (1 = Sunday)
+
+
 def time_parts(dt: Column | str, prefix: str = "measurement") -> list[Column]:
     """datetime, date, hour, day_of_week (1 = Sunday), month, year of epoch seconds `dt`.
 
-    Extracted parts are bigint, as the warehouse's INT64. Needs a UTC session clock.
+    The parts are UTC by definition (TIMESTAMP_SECONDS), so day and hour come from
+    integer arithmetic on the epoch seconds: no per-row time-zone conversion, and the
+    result does not depend on the session zone. Parts are bigint (INT64).
     """
-    ts = F.timestamp_seconds(F.col(dt) if isinstance(dt, str) else dt)
+    secs = F.col(dt) if isinstance(dt, str) else dt
+    day_no = F.floor(secs / F.lit(SECONDS_PER_DAY))  # days since 1970-01-01, floored
+    date = F.date_from_unix_date(day_no.cast("int"))
     return [
-        ts.alias(f"{prefix}_datetime"),
-        F.to_date(ts).alias(f"{prefix}_date"),
-        F.hour(ts).cast("bigint").alias(f"{prefix}_hour"),
-        F.dayofweek(ts).cast("bigint").alias(f"{prefix}_day_of_week"),
-        F.month(ts).cast("bigint").alias(f"{prefix}_month"),
-        F.year(ts).cast("bigint").alias(f"{prefix}_year"),
+        F.timestamp_seconds(secs).alias(f"{prefix}_datetime"),
+        date.alias(f"{prefix}_date"),
+        (F.pmod(secs, F.lit(SECONDS_PER_DAY)) / F.lit(3600)).cast("bigint").alias(f"{prefix}_hour"),
+        (F.pmod(day_no + (THURSDAY - 1), F.lit(7)) + 1).cast("bigint").alias(f"{prefix}_day_of_week"),
+        F.month(date).cast("bigint").alias(f"{prefix}_month"),
+        F.year(date).cast("bigint").alias(f"{prefix}_year"),
     ]
 
 
