@@ -65,12 +65,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Set our own only where it is unset (local tests); on a cluster the setting
     points at shared storage that survives executor loss.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="airshed-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+        d = tempfile.mkdtemp(prefix="airshed-ckpt-")  # local runs and tests only
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
+    return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

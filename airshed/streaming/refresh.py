@@ -18,15 +18,17 @@ from pyspark.sql import types as T
 
 from airshed.operators import staging
 from airshed.sources.schema import RAW, RAW_COLUMNS
-from airshed.session import use_utc
+from airshed.session import scratch_path, use_utc
 
 STAGERS = {"current": staging.stage_current, "forecast": staging.stage_forecast}
 
 
-def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path: str, checkpoint: str):
+def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path: str, checkpoint: str | None = None):
     """Stage newly landed `kind` files into `out_path` (parquet, partitioned by
-    country and ingest_date). Returns the finished StreamingQuery."""
+    country and ingest_date). The checkpoint defaults to a folder under the shared
+    spark.checkpoint.dir. Returns the finished StreamingQuery."""
     use_utc(spark)
+    checkpoint = checkpoint or scratch_path(spark, f"refresh-{kind}")
     stage = STAGERS[kind]
     schema = T.StructType(RAW.fields + [T.StructField("ingest_date", T.DateType(), True)])
     src = (

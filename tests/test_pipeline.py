@@ -67,3 +67,25 @@ def test_incremental_refresh_overwrites_same_day(spark, tmp_path):
     refresh_staged(spark, land, "current", out, ck)
     got = spark.read.parquet(out).collect()
     assert [r.aqi for r in got] == [3.0]
+
+
+def test_checkpoint_root_reads_the_session(spark):
+    from airshed.session import checkpoint_root, scratch_path
+
+    root = checkpoint_root(spark)
+    assert root and checkpoint_root(spark) == root
+    assert scratch_path(spark, "x").startswith(root)
+
+
+def test_keep_incomplete_flags_rows(spark):
+    from pyspark.sql import functions as F
+
+    from airshed.operators import daily, staging, unified
+
+    feed = testdata.historical_feed(spark, SF_SMALL)
+    st = staging.stage_historical(feed, keep_incomplete=True)
+    assert st.count() == feed.count() and st.filter("is_data_quality_issue = 1").count() > 0
+    empty = feed.limit(0)
+    u = unified.unify(st, staging.stage_current(empty), staging.stage_forecast(empty))
+    d = daily.daily_summary(u)
+    assert d.filter(F.col("quality_issues") > 0).count() > 0
