@@ -55,7 +55,9 @@ def flatten_history(payloads: DataFrame, cities: DataFrame | None = None) -> tup
     df = _prepare(payloads, cities)
     items = F.coalesce(F.col("_r.list"), F.array())
     ok = F.forall(items, _complete)
-    good = df.filter(ok).select("*", F.explode(items).alias("_i")).select(*_record(F.col("_i")))
+    # The check sits inside the generator (a rejected response explodes nothing), so
+    # no filter is pushed below the parse and each response is parsed once.
+    good = df.select("*", F.explode(F.when(ok, items)).alias("_i")).select(*_record(F.col("_i")))
     rejected = df.filter(~ok).drop("_r")
     return good.select(*RAW_COLUMNS), rejected
 
