@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # The published read caps.
@@ -30,9 +30,23 @@ def in_published_order(df: DataFrame, mart: str) -> DataFrame:
 
 
 def newest_first(df: DataFrame, order: str, limit: int = MART_ROW_CAP, tie: Sequence[str] = ()) -> DataFrame:
-    """Newest rows first, capped. orderBy + limit plans as a top-k
-    (TakeOrderedAndProject): each task keeps `limit` rows, nothing is fully sorted."""
-    return df.orderBy(F.col(order).desc(), *tie).limit(limit)
+    """The `limit` newest rows by a low-cardinality column (a date), newest first.
+
+    A plain orderBy + limit sends up to `limit` rows from every scan task to one
+    reducer. Here the rows per order value are counted first (combines map-side; one
+    row per date), the oldest value still needed is found from the running count of
+    newer rows (a window over the distinct dates only), and only rows from that value
+    on reach the final top-k. Exact: the rows kept are the same as a full sort's.
+    """
+    per_value = df.groupBy(order).agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
+    cutoff = (
+        per_value.select(order, F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_newer"))
+        .filter(F.col("_newer") < limit)
+        .agg(F.min(order))
+    )
+    kept = df.filter(F.col(order) >= cutoff.scalar())
+    return kept.orderBy(F.col(order).desc(), *tie).limit(limit)
 
 
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:

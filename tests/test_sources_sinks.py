@@ -171,3 +171,17 @@ def test_published_orders(spark):
                                "country string, city string, measurement_year int, season string")
     got = [r.season for r in reads.in_published_order(df, "temporal_air_quality_patterns").collect()]
     assert got == ["Winter", "Summer", "Fall"]
+
+
+@pytest.mark.parametrize("k", [1, 7, 500, 5000])
+def test_newest_first_equals_a_full_sort(spark, k):
+    import __spark_entry__ as E
+    from airshed.operators import reads
+
+    from conftest import SF_SMALL
+
+    fact = E._Feeds(spark, SF_SMALL).fct_daily()
+    tie = ["country", "city", "data_type"]
+    got = [tuple(r) for r in reads.newest_first(fact, "measurement_date", k, tie).select("daily_summary_id", "data_type").collect()]
+    want = [tuple(r) for r in fact.orderBy(F.col("measurement_date").desc(), *tie).limit(k).select("daily_summary_id", "data_type").collect()]
+    assert got == want and len(got) == min(k, fact.count())
