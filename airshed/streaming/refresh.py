@@ -1,15 +1,16 @@
 """Incremental refresh of the current / forecast feeds with Structured Streaming.
 
 The feeds land four times a day (K2, K3). Instead of re-staging every landed file on
-each run, a file stream picks up only the new files, stages them and replaces the
-matching (country, ingestion day) partitions of the staged table, so a same-day
-rerun overwrites as the landing does. trigger(availableNow=True) processes what is
+each run, a file stream picks up only the new files and re-stages just the
+(country, ingestion day) partitions they belong to, replacing those partitions of the
+staged table, so a same-day rerun overwrites as the landing does. trigger(availableNow=True) processes what is
 there and stops, so a scheduler can run it like a batch job; the checkpoint
 records which files were done and makes a restart after executor loss safe.
 """
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,9 @@ def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path:
     country and ingest_date). The checkpoint defaults to a folder under the shared
     spark.checkpoint.dir. Returns the finished StreamingQuery."""
     use_utc(spark)
-    checkpoint = checkpoint or scratch_path(spark, f"refresh-{kind}")
+    if checkpoint is None:  # one progress log per (landing folder, target table)
+        tag = hashlib.sha1(f"{landing_root}|{out_path}".encode()).hexdigest()[:12]
+        checkpoint = scratch_path(spark, f"refresh-{kind}-{tag}")
     stage = STAGERS[kind]
     schema = T.StructType(RAW.fields + [T.StructField("ingest_date", T.DateType(), True)])
     src = (
@@ -38,8 +41,17 @@ def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path:
         .json(os.path.join(landing_root, kind))
     )
 
+    landed = spark.read.schema(schema).option("mode", "FAILFAST").json(os.path.join(landing_root, kind))
+
     def write_batch(batch: DataFrame, _epoch: int) -> None:
-        staged = stage(batch.select(*RAW_COLUMNS)).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
+        # Re-stage every landed file of the (country, day) partitions this batch touches,
+        # not just the batch's files: a day is then always replaced whole, whether its
+        # files arrived in one micro-batch or several, and a retried batch rewrites the
+        # same result (idempotent). The semi-join on the partition columns prunes the
+        # landing scan to those days.
+        touched = batch.select("country", "ingest_date").distinct()
+        day_rows = landed.join(touched, ["country", "ingest_date"], "left_semi")
+        staged = stage(day_rows.select(*RAW_COLUMNS)).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")

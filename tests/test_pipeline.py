@@ -89,3 +89,20 @@ def test_keep_incomplete_flags_rows(spark):
     u = unified.unify(st, staging.stage_current(empty), staging.stage_forecast(empty))
     d = daily.daily_summary(u)
     assert d.filter(F.col("quality_issues") > 0).count() > 0
+
+
+def test_refresh_restages_whole_days(spark, tmp_path):
+    import datetime as dt
+
+    from airshed.sources.schema import RAW
+
+    land, out = str(tmp_path / "land"), str(tmp_path / "out")
+    t0 = dt.datetime(2024, 1, 1, 6, tzinfo=dt.timezone.utc)
+    t2 = dt.datetime(2024, 1, 2, 6, tzinfo=dt.timezone.utc)
+    row = lambda t, c, d: (t, c, "X", 1.0, 2.0, d, 1.0, None)
+    landing.land_current(spark.createDataFrame([row(t0, "UK", 1704088800), row(t0, "USA", 1704088800)], RAW), land)
+    refresh_staged(spark, land, "current", out)  # checkpoint under the shared checkpoint folder
+    landing.land_current(spark.createDataFrame([row(t2, "UK", 1704175200)], RAW), land)  # another day, UK only
+    refresh_staged(spark, land, "current", out)
+    got = sorted((r.country, str(r.ingest_date)) for r in spark.read.parquet(out).collect())
+    assert got == [("UK", "2024-01-01"), ("UK", "2024-01-02"), ("USA", "2024-01-01")]
