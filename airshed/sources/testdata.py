@@ -23,14 +23,14 @@ FORECAST_EVENTS = ("signup", "error")
 COMPONENT_MODULI = [("co", 127), ("no", 31), ("no2", 109), ("o3", 113), ("so2", 83), ("pm2_5", 53), ("pm10", 163), ("nh3", 211)]
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table handle, created once per session (like a catalog entry): the footer is
     read once, the data on every execution."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, id(spark), path)  # never reuse a handle of a stopped session
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
