@@ -47,3 +47,15 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0 and "daily_summary_id" in df.columns
+
+
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "timestamp_ntz": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
+def test_column_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF_SMALL)
+    res = con.sql(E.oracle_sql()[name])
+    oracle_types = dict(zip(res.columns, [str(t) for t in res.types]))
+    for f in df.schema.fields:
+        assert SPARK_TO_DUCKDB.get(f.dataType.simpleString()) == oracle_types[f.name], (name, f.name)
