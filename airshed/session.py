@@ -68,6 +68,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a shared folder (machine-local folders do not survive executor loss)")
         d = tempfile.mkdtemp(prefix="airshed-ckpt-")  # local runs and tests only
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
