@@ -59,3 +59,15 @@ def test_column_types_match_oracle(spark, con, name):
     oracle_types = dict(zip(res.columns, [str(t) for t in res.types]))
     for f in df.schema.fields:
         assert SPARK_TO_DUCKDB.get(f.dataType.simpleString()) == oracle_types[f.name], (name, f.name)
+
+
+def test_entry_module_loads_by_path_from_elsewhere(spark, tmp_path, monkeypatch):
+    import importlib.util
+
+    monkeypatch.chdir(tmp_path)
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "__spark_entry__.py")
+    spec = importlib.util.spec_from_file_location("entry_by_path", path)
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    assert set(mod.queries()) == set(mod.oracle_sql())
+    assert mod.queries()["check_duplicates"](spark, SF_SMALL).count() >= 0
