@@ -47,3 +47,8 @@ def test_rank_windows_share_partitioning(feeds):
     p = plan(E.QUERIES["city_rankings"](feeds))
     window_part = p[: p.index("HashAggregate")] if "HashAggregate" in p else p
     assert window_part.count("Exchange hashpartitioning") == 1, window_part
+
+
+def test_newest_first_cuts_before_the_top_k(feeds):
+    p = plan(E.QUERIES["newest_daily_summary"](feeds))
+    assert "Subquery" in p and "TakeOrderedAndProject" in p
