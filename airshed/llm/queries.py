@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash
+from . import minhash, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
+    "op3_suffix_array_dedup": suffix.op3_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {

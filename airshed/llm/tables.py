@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from airshed.session import scratch_path
 
-LAST = (1 << 63) - 1  # stands for a null id: greater than every id
+NULL_IDS = 1 << 62  # ids from here on stand for null ids
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -26,15 +26,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def order_id(name: str = "doc_id") -> Column:
-    """The id as a long that always compares; null comes last."""
-    return F.coalesce(F.col(name).cast("long"), F.lit(LAST))
+    """The id as a long that always compares. A null id comes after every id (of less than
+    2**62), in an order fixed by the text, so that null ids are no hot key."""
+    stand_in = F.lit(NULL_IDS) + F.xxhash64(F.col("text")).bitwiseAND(F.lit(NULL_IDS - 1))
+    return F.coalesce(F.col(name).cast("long"), stand_in)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """(id, text_hash, text): id and text hash together name a text, whatever other columns
     the input has and even if ids repeat or are null."""
-    return docs.select(order_id().alias("id"), F.xxhash64("text").alias("text_hash"), F.col("text").cast("string").alias("text"))
+    return docs.select(order_id().alias("id"), F.xxhash64(F.col("text")).alias("text_hash"), F.col("text").cast("string").alias("text"))
 
 
 def shown_id(name: str = "id") -> Column:
-    return F.when(F.col(name) != LAST, F.col(name))
+    return F.when(F.col(name) < NULL_IDS, F.col(name))
