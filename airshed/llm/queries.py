@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, suffix
+from . import minhash, phrases, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
     "op3_suffix_array_dedup": suffix.op3_suffix_array_dedup,
+    "op9_substring_dedup": phrases.op9_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.ORACLE,
+    "op9_substring_dedup": phrases.ORACLE,
 }
