@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minhash, phrases, suffix
+from . import decontaminate, minhash, phrases, suffix
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
     "op3_suffix_array_dedup": suffix.op3_suffix_array_dedup,
+    "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op9_substring_dedup": phrases.op9_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.ORACLE,
+    "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op9_substring_dedup": phrases.ORACLE,
 }
