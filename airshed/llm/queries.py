@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, minhash, phrases, pieces, suffix, toxicity
+from . import decontaminate, minhash, phrases, pieces, suffix, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
     "op2_sentencepiece_round_trip": pieces.op2_sentencepiece_round_trip,
     "op3_suffix_array_dedup": suffix.op3_suffix_array_dedup,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
+    "op5_warc": warc.op5_warc,
     "op6_toxicity": toxicity.op6_toxicity,
     "op9_substring_dedup": phrases.op9_substring_dedup,
 }
@@ -20,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
+    "op5_warc": warc.ORACLE,
     "op9_substring_dedup": phrases.ORACLE,
 }
