@@ -34,17 +34,17 @@ def test_ranges_of_any_size_own_each_record_once(step):
 def test_a_member_inside_a_stored_payload_and_a_damaged_member():
     rng = random.Random(1)
     inner = warc.record("response", "inner", "http://in", b"q" * 50, "0", None)
-    noise = bytes(rng.randrange(256) for _ in range(3000))
+    noise = bytes(rng.randrange(256) for _ in range(60_000))
     outer = warc.record("response", "outer", "http://out", noise + inner + noise, "0", None)
     last = warc.record("response", "last", "http://last", b"z", "0", None)
     broken = bytearray(warc.record("response", "broken", "http://b", noise, "0", None))
     broken[len(broken) // 2] ^= 255
     data = outer + bytes(broken) + last
     assert inner[12:40] in data  # deflate stored it as it is
-    for step in (50, len(data)):
+    for step in (997, len(data)):
         s = source(data)
         got = [warc.parse(c)["record_id"] for a in range(0, len(data), step) for c in warc.members(s, a, min(a + step, len(data)))]
-        assert got in (["outer", "last"], ["last"]) if step < len(data) else got == ["outer", "last"] or got == ["last"]
+        assert got == ["outer", "last"]
 
 
 def test_shared_payloads_nulls_and_repeats(spark, tmp_path):
