@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, minhash, phrases, pieces, suffix, toxicity, warc
+from . import decontaminate, minhash, phrases, pieces, suffix, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_warc": warc.op5_warc,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_url_filter": urlfilter.op7_url_filter,
     "op9_substring_dedup": phrases.op9_substring_dedup,
 }
 
@@ -22,5 +23,6 @@ ORACLES: dict[str, str] = {
     "op1_minhash_near_dedup": minhash.ORACLE,
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op5_warc": warc.ORACLE,
+    "op7_url_filter": urlfilter.ORACLE,
     "op9_substring_dedup": phrases.ORACLE,
 }
