@@ -6,10 +6,13 @@ coordinates. Signatures are banded; documents that share a band are compared on
 full shingle sets, and links are closed into components.
 
 Scale: texts with the same shingle set become one class first (an aggregate that
-combines map-side), so thousands of copies cost one member. A bucket is never gathered
-or paired out: its smallest member is joined with the others, then its greatest, and
-only classes of a bucket that are still in different components after that are compared
-directly. Components are found by star contraction joins, written down each round.
+combines map-side), so thousands of copies cost one member. A bucket is never gathered or
+paired out: its most central member is joined with the others. Where a bucket then still
+holds several components, classes are left out if too many of their shingles are in no
+other open class to reach the similarity with any; what remains is joined with a centre
+again, and only pairs in different components whose common shingles could suffice are
+compared directly. No link is lost by this: each test is a bound on the intersection.
+Components are found by star contraction joins, written down each round.
 
 Nulls and empty texts have no shingles and link with nothing; a null doc_id comes after
 every id; rows that repeat a doc_id share its verdict only if their texts do; an empty
@@ -153,9 +156,20 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(now.select(F.col("v"), F.col("v")).distinct())
 
 
+def _members(classes: DataFrame) -> DataFrame:
+    """Members of buckets of two or more: key, class, n, weight. The weight sums the sizes of
+    a class's buckets; among near copies the least changed one has the greatest."""
+    buckets = classes.select("class", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    sizes = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = buckets.join(sizes, "key")
+    weights = members.groupBy("class").agg(F.sum("size").alias("weight"))
+    return written(members.drop("size").join(weights, "class"), "buckets")
+
+
 def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Bucket members with their component."""
-    return members.join(roots.withColumnRenamed("node", "class"), "class", "left").select("key", "class", "n", F.coalesce("root", "class").alias("root"))
+    own = roots.select(F.col("node").alias("class"), "root")
+    return members.drop("root").join(own, "class", "left").withColumn("root", F.coalesce("root", "class"))
 
 
 def _unsettled(members: DataFrame) -> DataFrame:
@@ -171,38 +185,42 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = written(
         signed.filter("n_shingles > 0").groupBy("class").agg(F.min(F.struct("id", "text_hash", "n_shingles", "bands")).alias("m")).select("class", "m.*"), "classes"
     )
-    buckets = classes.select("class", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
-    shared = buckets.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("class", "n")).alias("low"), F.max(F.struct("class", "n")).alias("high")).filter("size > 1")
-    members = written(buckets.join(shared, "key"), "buckets")
+    members = _members(classes)
 
     def similar_sizes(a, b):  # sets this different in size cannot reach the similarity
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
-    def star(df, hub):
-        return df.filter(F.col("class") != F.col(f"{hub}.class")).filter(similar_sizes(F.col("n"), F.col(f"{hub}.n"))).select(
-            F.least("class", f"{hub}.class").alias("a"), F.greatest("class", f"{hub}.class").alias("b")
-        )
+    def stars(of):  # the weightiest class of each bucket with every other
+        hubs = of.groupBy("key").agg(F.max(F.struct("weight", "class", "n")).alias("hub"))
+        rays = of.join(hubs, "key").filter(F.col("class") != F.col("hub.class")).filter(similar_sizes(F.col("n"), F.col("hub.n")))
+        return rays.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
 
     touched = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "id", "text_hash")
     found = texts.join(touched, ["id", "text_hash"]).select("class", "text").mapInArrow(_sets, _SETS)
     sets = written(found.groupBy("class").agg(F.first("shingles").alias("shingles")), "sets")  # once, if rows repeat
 
-    tried = written(star(members, "low").distinct(), "pairs")
+    tried = written(stars(members), "pairs")
     edges = written(verified(tried, sets, percent), "edges")
     roots = components(edges)
 
-    # the greatest member of each bucket that still holds several components
+    # buckets that still hold several components: leave out classes too few of whose
+    # shingles are in any other open class, then stars again, then every open pair
     left = _unsettled(_labelled(members, roots))
-    again = left.join(members.select("key", "class", "low", "high"), ["key", "class"])
-    more = written(star(again, "high").distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    open_sets = sets.join(left.select("class").distinct(), "class", "left_semi").select("class", F.explode("shingles").alias("shingle"))
+    lonely = open_sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("in"), F.min("class").alias("class")).filter("in = 1")
+    alone = lonely.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
+    left = left.join(alone, "class", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    left = written(_unsettled(left.filter(100 * F.col("common") >= percent * F.col("n"))), "unsettled")
+
+    more = written(stars(left).join(tried, ["a", "b"], "left_anti"), "pairs")
     tried = tried.union(more)
     edges = edges.union(written(verified(more, sets, percent), "edges"))
     roots = components(edges)
 
-    # what is left: classes that share a bucket and lie in different components
-    left = written(_unsettled(_labelled(members, roots)), "unsettled")
+    left = written(_unsettled(_labelled(left, roots)), "unsettled")
     x, y = left.alias("x"), left.alias("y")
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & similar_sizes(F.col("x.n"), F.col("y.n")))
+    overlap = (100 + percent) * F.least("x.common", "y.common") >= percent * (F.col("x.n") + F.col("y.n"))  # at most the common shingles are shared
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & overlap)
     rest = written(cross.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     edges = edges.union(written(verified(rest, sets, percent), "edges"))
     roots = components(edges)
