@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, minhash, phrases, pieces, suffix, toxicity, urlfilter, warc
+from . import decontaminate, hostrules, minhash, phrases, pieces, suffix, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": warc.op5_warc,
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_url_filter": urlfilter.op7_url_filter,
+    "op8_quality_rules": hostrules.op8_quality_rules,
     "op9_substring_dedup": phrases.op9_substring_dedup,
 }
 
@@ -24,5 +25,6 @@ ORACLES: dict[str, str] = {
     "op4_benchmark_decontamination": decontaminate.ORACLE,
     "op5_warc": warc.ORACLE,
     "op7_url_filter": urlfilter.ORACLE,
+    "op8_quality_rules": hostrules.ORACLE,
     "op9_substring_dedup": phrases.ORACLE,
 }
