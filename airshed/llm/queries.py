@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hostrules, minhash, phrases, pieces, suffix, toxicity, urlfilter, warc
+from . import decontaminate, hostrules, minhash, phrases, pieces, pseudonyms, suffix, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_filter": urlfilter.op7_url_filter,
     "op8_quality_rules": hostrules.op8_quality_rules,
     "op9_substring_dedup": phrases.op9_substring_dedup,
+    "op10_pii_pseudonyms": pseudonyms.op10_pii_pseudonyms,
 }
 
 ORACLES: dict[str, str] = {
