@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from .tables import keyed, read_table, shown_id, written
+from .tables import keyed, order_id, read_table, shown_id, written
 
 WINDOW = 13
 SHARD_WORDS = 500_000
@@ -229,6 +229,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = 5, windo
     return found.select(shown_id().alias("doc_id"), "n_words", "n_hit", "spans", "items", bad.alias("contaminated"), "id", "text_hash")
 
 
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 5, window: int = WINDOW) -> DataFrame:
+    """The input's rows without the contaminated documents."""
+    bad = decontaminate(docs, benchmark, percent, window).filter("contaminated").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+    named = docs.withColumns({"__id": order_id(), "__hash": F.xxhash64(F.col("text"))})
+    return named.join(bad, ["__id", "__hash"], "left_anti").select(*docs.columns)
+
+
 def _without(batches):
     for batch in batches:
         kept = []
