@@ -5,21 +5,27 @@ The published model joins every forecast to every actual reading of the same
 a busy hour with n forecasts and m actuals emits n * m rows, all in one task.
 
 Here each side is first reduced to (key, aqi value) -> count, which combines
-map-side. The statistics a forecast value f needs about the actual multiset A of its
-key are then read from range windows over the union of both sides ordered by value:
+map-side. A forecast value f then asks seven questions about the sorted actuals of its
+key: what lies at or below f, and how many actuals lie at or below the last (below the
+first) value within 10, 25 and 50 of f. Each question is one probe row among the actual
+rows, and one running sum in ascending order answers them all; a second running minimum in
+descending order gives the nearest actual above. Both frames grow by one row at a time, so
+the work is linear in rows.
 
-  count / sum of a <= f            (rangeBetween(unbounded, 0))
-  count of a in [f - t, f + t]     (rangeBetween(-t, t), t = 10, 25, 50)
-  nearest a below / above f        (max / min over the two half-lines)
-  count, sum, sum of squares, min, max and per-class counts of A
+A key's rows are split by value bucket (at most 2 * BUCKETS + 1), so no hour sits in one
+task. Count, mean and squared deviations of the actuals are kept per bucket and merged,
+in order, to what lies before and after each bucket; as deviations from means are carried
+and never squares of values, the variance does not cancel.
 
-which give, per forecast value, exactly: the pair count, sum |f - a|, sum (f - a)^2,
-min and max |f - a|, class hits and the rating counts. No pair is ever emitted;
-rows per key are bounded by the distinct values, not by n * m.
+The bounds are decided by the published subtraction |f - a| <= b in floating point: the
+last value within b above f is the greatest double y near f + b with y - f <= b.
 """
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +35,7 @@ from airshed.functions.numeric import round2
 KEY = ["country", "city", "forecast_date", "forecast_hour"]
 CLASS_CODES = list(range(0, 7))  # 0 = Unknown, 1..6 = Good .. Hazardous
 RATING_BOUNDS = [b for b, _ in C.ACCURACY_RATINGS]  # 10, 25, 50
+BUCKET_WIDTH, BUCKETS = 8.0, 128  # values beyond +-1024 share the outermost buckets
 
 
 def lead_time_hours(created_date: Column, forecast_ts: Column) -> Column:
@@ -40,11 +47,83 @@ def _as_of_day(as_of: str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of).cast("date")
 
 
+def _ulp(x: Column) -> Column:
+    """About one unit in the last place of |x|, as a power of two."""
+    return F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.abs(x), F.lit(1e-300)))) - 52)
+
+
+def _last_within(f: Column, b: int, side: int) -> Column:
+    """The value furthest above (side 1) or below (side -1) f with |f - a| <= b, as the
+    subtraction of doubles decides it: f + side * b moved by up to two units in the last place of any
+    of the three numbers, of which the furthest that passes is taken."""
+    x = f + F.lit(float(side * b))
+    steps = [(u, k) for u in (_ulp(x), _ulp(f), F.lit(2.0 ** (int(math.log2(b)) - 52))) for k in (0.25, 0.5, 1.0, 2.0)]
+    tries = [x, *(x + F.lit(sign * k) * u for u, k in steps for sign in (-1, 1))]
+    passing = [F.when((y - f if side > 0 else f - y) <= F.lit(float(b)), y) for y in tries]
+    return (F.greatest if side > 0 else F.least)(*passing)
+
+
+def _bucket(v: Column) -> Column:
+    return F.greatest(F.least(F.floor(v / BUCKET_WIDTH), F.lit(BUCKETS)), F.lit(-BUCKETS))
+
+
+def _moments(n: Column, mean: Column, m2: Column) -> Column:
+    return F.struct(n.cast("double").alias("n"), mean.alias("mean"), m2.alias("m2"))
+
+
+def _merged(x: Column, y: Column) -> Column:
+    """Count, mean and squared deviations of two sets together; no cancellation."""
+    n = x["n"] + y["n"]
+    gap = y["mean"] - x["mean"]
+    both = _moments(n, x["mean"] + gap * (y["n"] / n), x["m2"] + y["m2"] + gap * gap * (x["n"] * y["n"] / n))
+    return F.when(x["n"] == 0, y).when(y["n"] == 0, x).otherwise(both)
+
+
+def _nothing() -> Column:
+    return _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0))
+
+
+def _bucket_totals(rows: DataFrame) -> DataFrame:
+    """Per (key, bucket): moments of its actuals about their mean, and of all actuals of
+    the key before and after the bucket; the key's extremes and class counts."""
+    na, v = F.col("n_a"), F.col("v")
+    code = C.aqi_category_code(v)
+    # deviations are taken from the bucket's middle, at most half a bucket away
+    d = v - (F.col("bucket") + 0.5) * BUCKET_WIDTH
+    sums = rows.groupBy(*KEY, "bucket").agg(
+        F.sum(na).alias("n"), F.sum(na * d).alias("s"), F.sum(na * d * d).alias("q"), F.min(F.when(na > 0, v)).alias("lo"), F.max(F.when(na > 0, v)).alias("hi"),
+        *[F.sum(F.when(code == k, na).otherwise(0)).alias(f"k{k}") for k in CLASS_CODES],
+    )
+    n = F.greatest(F.col("n"), F.lit(1))
+    mean = (F.col("bucket") + 0.5) * BUCKET_WIDTH + F.col("s") / n
+    own = _moments(F.col("n"), mean, F.greatest(F.col("q") - F.col("s") * F.col("s") / n, F.lit(0.0)))
+    per_key = sums.groupBy(*KEY).agg(
+        F.sort_array(F.collect_list(F.struct("bucket", own.alias("own"), "lo", "hi"))).alias("all"),  # at most 2 * BUCKETS + 1
+        F.sum("n").alias("N"), F.min("lo").alias("a_min"), F.max("hi").alias("a_max"), *[F.sum(f"k{k}").alias(f"k{k}") for k in CLASS_CODES],
+    ).filter("N > 0")
+
+    def fold():
+        start = F.struct(_nothing().alias("sum"), F.lit(None).cast("double").alias("near"), F.array().cast("array<struct<m:struct<n:double,mean:double,m2:double>,near:double>>").alias("out"))
+
+        def add(acc, x, near):
+            return F.struct(_merged(acc["sum"], x["own"]).alias("sum"), F.coalesce(near(x), acc["near"]).alias("near"), F.concat(acc["out"], F.array(F.struct(acc["sum"].alias("m"), acc["near"].alias("near")))).alias("out"))
+
+        return start, add
+
+    start, add = fold()
+    before = F.aggregate("all", start, lambda acc, x: add(acc, x, lambda y: y["hi"]), lambda acc: acc["out"])
+    after = F.reverse(F.aggregate(F.reverse("all"), start, lambda acc, x: add(acc, x, lambda y: y["lo"]), lambda acc: acc["out"]))
+    one = F.explode(F.arrays_zip("all", before.alias("before"), after.alias("after"))).alias("b")
+    out = per_key.select(*KEY, "N", "a_min", "a_max", *[f"k{k}" for k in CLASS_CODES], one)
+    return out.select(*KEY, F.col("b.all.bucket").alias("bucket"), F.col("b.all.own").alias("own"), F.col("b.before").alias("before"), F.col("b.after").alias("after"), "N", "a_min", "a_max", *[f"k{k}" for k in CLASS_CODES])
+
+
 def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | None = None) -> DataFrame:
     """Per (key, lead hours, forecast value): the pair statistics against actuals.
 
     Only forecasts dated as_of or later (F4) that have an actual reading in the same
-    hour (F5) appear. as_of=None means today, as published.
+    hour (F5) appear. as_of=None means today, as published. The bound holds for the
+    actuals too, as the dates of a pair are equal: both scans read from as_of on.
     """
     f = (
         forecast.filter(F.col("forecast_date") >= _as_of_day(as_of))
@@ -52,12 +131,13 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
         .groupBy(
             *KEY,
             lead_time_hours(F.col("forecast_created_date"), F.col("forecast_datetime")).alias("forecast_lead_time_hours"),
-            F.col("aqi").alias("v"),
+            F.col("aqi").alias("f"),
         )
         .agg(F.count(F.lit(1)).alias("n_f"))
     )
     a = (
-        current.filter(F.col("measurement_datetime").isNotNull() & F.col("aqi").isNotNull())
+        current.filter(F.col("measurement_date") >= _as_of_day(as_of))
+        .filter(F.col("measurement_datetime").isNotNull() & F.col("aqi").isNotNull())
         .groupBy(
             "country",
             "city",
@@ -67,57 +147,74 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
         )
         .agg(F.count(F.lit(1)).alias("n_a"))
     )
-    u = f.select(*KEY, "forecast_lead_time_hours", "v", "n_f", F.lit(0).cast("bigint").alias("n_a")).unionByName(
-        a.select(*KEY, F.lit(None).cast("bigint").alias("forecast_lead_time_hours"), "v", F.lit(0).cast("bigint").alias("n_f"), "n_a")
-    )
+    # probes: a lower bound sorts before the actuals of its value (rank 0), f and the upper bounds after (2)
+    fv = F.col("f")
+    probes = [F.struct(F.lit("at").alias("probe"), fv.alias("v"), F.lit(2).alias("rank"))]
+    for b in RATING_BOUNDS:
+        probes.append(F.struct(F.lit(f"lo{b}").alias("probe"), _last_within(fv, b, -1).alias("v"), F.lit(0).alias("rank")))
+        probes.append(F.struct(F.lit(f"hi{b}").alias("probe"), _last_within(fv, b, 1).alias("v"), F.lit(2).alias("rank")))
+    asked = f.select(*KEY, "forecast_lead_time_hours", "f", "n_f", F.explode(F.array(*probes)).alias("p"))
+    asked = asked.select(*KEY, "forecast_lead_time_hours", "f", "n_f", "p.probe", "p.v", "p.rank", F.lit(0).cast("bigint").alias("n_a"))
+    none = {"forecast_lead_time_hours": "bigint", "f": "double", "n_f": "bigint", "probe": "string"}
+    rows = asked.unionByName(a.select(*KEY, *[F.lit(None).cast(t).alias(c) for c, t in none.items()], "v", F.lit(1).alias("rank"), "n_a"))
+    rows = rows.withColumn("bucket", _bucket(F.col("v")))
+    rows = rows.join(_bucket_totals(rows), [*KEY, "bucket"])
 
     na, v = F.col("n_a"), F.col("v")
-    is_a = na > 0
-    whole = Window.partitionBy(*KEY)
-    by_v = whole.orderBy("v")
-    upto = by_v.rangeBetween(Window.unboundedPreceding, 0)
-    from_ = by_v.rangeBetween(0, Window.unboundedFollowing)
-    code = C.aqi_category_code(v)
-    stats = u.select(
-        *KEY,
-        "forecast_lead_time_hours",
-        "v",
-        "n_f",
-        F.sum(na).over(whole).alias("N"),
-        F.sum(na * v).over(whole).alias("S"),
-        F.sum(na * v * v).over(whole).alias("Q"),
-        F.min(F.when(is_a, v)).over(whole).alias("a_min"),
-        F.max(F.when(is_a, v)).over(whole).alias("a_max"),
-        F.sum(na).over(upto).alias("c_le"),
-        F.sum(na * v).over(upto).alias("s_le"),
-        F.max(F.when(is_a, v)).over(upto).alias("near_lo"),
-        F.min(F.when(is_a, v)).over(from_).alias("near_hi"),
-        *[F.sum(na).over(by_v.rangeBetween(-b, b)).alias(f"c{b}") for b in RATING_BOUNDS],
-        *[F.sum(F.when(code == k, na).otherwise(0)).over(whole).alias(f"k{k}") for k in CLASS_CODES],
-    ).filter((F.col("n_f") > 0) & (F.col("N") > 0))
-
-    nf, N, S, Q = F.col("n_f"), F.col("N"), F.col("S"), F.col("Q")
-    c_le, s_le = F.col("c_le"), F.col("s_le")
-    f_code = C.aqi_category_code(v)
+    split = Window.partitionBy(*KEY, "bucket")
+    up = split.orderBy("v", "rank").rowsBetween(Window.unboundedPreceding, 0)
+    down = split.orderBy(F.col("v").desc(), F.col("rank").asc()).rowsBetween(Window.unboundedPreceding, 0)
+    d = v - F.col("own.mean")
+    rows = rows.withColumns({
+        "c": F.sum(na).over(up), "s": F.sum(na * d).over(up), "q": F.sum(na * d * d).over(up),
+        "near_lo": F.max(F.when(na > 0, v)).over(up), "near_hi": F.min(F.when(na > 0, v)).over(down),
+    }).filter("probe IS NOT NULL")
+
+    def moments(n, s, q):  # from sums of deviations from the bucket's mean
+        k = F.greatest(n, F.lit(1))
+        return F.when(n > 0, _moments(n, F.col("own.mean") + s / k, F.greatest(q - s * s / k, F.lit(0.0)))).otherwise(_nothing())
+
+    below = _merged(F.col("before.m"), moments(F.col("c"), F.col("s"), F.col("q")))
+    # deviations from the mean sum to zero over the bucket
+    above = _merged(moments(F.col("own.n") - F.col("c"), -F.col("s"), F.col("own.m2") - F.col("q")), F.col("after.m"))
+    answer = rows.select(
+        *KEY, "forecast_lead_time_hours", "f", "n_f", "N", "a_min", "a_max", *[f"k{k}" for k in CLASS_CODES], "probe",
+        (F.col("before.m.n") + F.col("c")).cast("bigint").alias("upto"), below.alias("below"), above.alias("above"),
+        F.coalesce("near_lo", "before.near").alias("near_lo"), F.coalesce("near_hi", "after.near").alias("near_hi"),
+    )
+
+    def at(c):
+        return F.max(F.when(F.col("probe") == "at", F.col(c))).alias(c)
+
+    def within(b):
+        of = {k: F.max(F.when(F.col("probe") == f"{k}{b}", F.col("upto"))) for k in ("lo", "hi")}
+        return (of["hi"] - of["lo"]).alias(f"c{b}")
+
+    same = ["N", "a_min", "a_max", *[f"k{k}" for k in CLASS_CODES]]
+    stats = answer.groupBy(*KEY, "forecast_lead_time_hours", "f", "n_f").agg(
+        *[F.max(c).alias(c) for c in same], *[at(c) for c in ("below", "above", "near_lo", "near_hi")], *[within(b) for b in RATING_BOUNDS]
+    )
+
+    nf, N, f_ = F.col("n_f"), F.col("N"), F.col("f")
+    f_code = C.aqi_category_code(f_)
     same_class = F.coalesce(*[F.when(f_code == k, F.col(f"k{k}")) for k in CLASS_CODES])
-    c10, c25, c50 = (F.col(f"c{b}") for b in RATING_BOUNDS)
-    return stats.select(
+    # errors below are f - a, above a - f; an empty side weighs nothing
+    under = _moments(F.col("below.n"), f_ - F.col("below.mean"), F.col("below.m2"))
+    over = _moments(F.col("above.n"), F.col("above.mean") - f_, F.col("above.m2"))
+    return stats.withColumn("e", _merged(under, over)).select(
         *KEY,
         "forecast_lead_time_hours",
-        F.col("v").alias("forecasted_aqi"),
-        C.aqi_category(v).alias("forecasted_category"),
+        f_.alias("forecasted_aqi"),
+        C.aqi_category(f_).alias("forecasted_category"),
         nf.alias("forecasts"),
         (nf * N).alias("pairs"),
-        # sum over actuals of |f - a| = f*c_le - s_le + (S - s_le) - f*(N - c_le)
-        (nf * (v * c_le - s_le + (S - s_le) - v * (N - c_le))).alias("sum_abs_error"),
-        # sum over actuals of (f - a)^2
-        (nf * (N * v * v - F.lit(2.0) * v * S + Q)).alias("sum_sq_error"),
-        F.least(v - F.col("near_lo"), F.col("near_hi") - v).alias("min_abs_error"),
-        F.greatest(v - F.col("a_min"), F.col("a_max") - v).alias("max_abs_error"),
+        (nf * N * F.col("e.mean")).alias("sum_abs_error"),
+        (nf * (F.col("e.m2") + N * F.col("e.mean") * F.col("e.mean"))).alias("sum_sq_error"),
+        (nf * F.col("e.m2")).alias("error_m2"),
+        F.least(f_ - F.col("near_lo"), F.col("near_hi") - f_).alias("min_abs_error"),
+        F.greatest(f_ - F.col("a_min"), F.col("a_max") - f_).alias("max_abs_error"),
         (nf * same_class).alias("category_hits"),
-        (nf * c10).alias("within_10"),
-        (nf * c25).alias("within_25"),
-        (nf * c50).alias("within_50"),
+        *[(nf * F.col(f"c{b}")).alias(f"within_{b}") for b in RATING_BOUNDS],
     )
 
 
@@ -127,16 +224,21 @@ def _avg_where(cond: Column) -> Column:
 
 def accuracy_metrics(pairs: DataFrame) -> DataFrame:
     """A10 from the per-value pair statistics: exact pair counts, means, sample
-    standard deviation, extremes, class errors and rating counts."""
+    standard deviation, extremes, class errors and rating counts. The deviation adds the
+    squared deviations within each value to those of the values' means from the group's
+    mean, which a first aggregate gives."""
+    group = ["country", "city", "forecast_lead_time_hours"]
+    centre = pairs.groupBy(*group).agg((F.sum("sum_abs_error") / F.sum("pairs")).alias("_mean"))
+    same = reduce(lambda x, y: x & y, (F.col(f"p.{c}").eqNullSafe(F.col(f"m.{c}")) for c in group))
+    pairs = pairs.alias("p").join(centre.alias("m"), same).select("p.*", "_mean")
     n = F.sum("pairs")
-    s = F.sum("sum_abs_error")
-    q = F.sum("sum_sq_error")
+    gap = F.col("sum_abs_error") / F.col("pairs") - F.col("_mean")
+    m2 = F.sum(F.col("error_m2") + F.col("pairs") * gap * gap)
     cat = F.col("forecasted_category")
-    var = (q - s * s / n) / (n - F.lit(1))
-    return pairs.groupBy("country", "city", "forecast_lead_time_hours").agg(
+    return pairs.groupBy(*group).agg(
         n.alias("total_forecasts"),
-        (s / n).alias("avg_absolute_error"),
-        F.when(n > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("error_stddev"),
+        (F.sum("sum_abs_error") / n).alias("avg_absolute_error"),
+        F.when(n > 1, F.sqrt(m2 / (n - F.lit(1)))).alias("error_stddev"),
         F.min("min_abs_error").alias("min_error"),
         F.max("max_abs_error").alias("max_error"),
         _avg_where(cat == "Good").alias("good_forecast_error"),

@@ -126,6 +126,7 @@ def _event_feed(spark: SparkSession, sf_dir: str, kinds: tuple[str, ...], ingest
         *_place(k),
         F.when(k % 211 == 0, F.lit(None).cast("bigint")).otherwise(_epoch(F.col("ts"))).alias("dt"),
         F.when(k % 199 == 0, F.lit(None).cast("double"))
+        .when(k % 10 == 0, F.col("value") * 2)
         .otherwise(F.floor(F.col("value") * 2).cast("double"))
         .alias("aqi"),
         _components(k).alias("components"),
