@@ -9,7 +9,7 @@ round, at half the threshold, ranks only sampled positions (sampling.py): each w
 `length` bytes is represented by one of them, and a window that occurs twice has the same
 representative at the same offset. Positions with a unique rank go. The last round pairs,
 for every window that may still be unique or not, the rank at its start with the rank half
-a threshold on, and groups the pairs.
+a threshold on, and groups the pairs (of the second, 32 bits: 96 in all name a window).
 
 Runs whose whole surroundings occur twice need no last round: every window in them does.
 One row of each such context goes on as the partner of others, so thousands of copies cost
@@ -34,7 +34,7 @@ from .tables import keyed, read_table, shown_id, written
 
 LENGTH = 400
 _RUNS = "rank long, context long, id long, text_hash long, lo long, n int"
-_WINDOWS = "id long, text_hash long, place long, rank long, next_rank long, alone boolean"
+_WINDOWS = "id long, text_hash long, place long, rank long, next_rank int, alone boolean"
 _KEPT = "id long, n_bytes long, spans array<struct<lo:long,hi:long>>, kept binary"
 
 
@@ -95,7 +95,7 @@ def _doubled(length: int):
                     place, rank, next_rank, alone = (np.concatenate(x) for x in zip(*out))
                     same = pa.array(np.full(len(place), first + row))
                     yield pa.RecordBatch.from_arrays(
-                        [ids.take(same), hashes.take(same), pa.array(place), A.longs(rank), A.longs(next_rank), pa.array(alone)],
+                        [ids.take(same), hashes.take(same), pa.array(place), A.longs(rank), pa.array((next_rank >> A.U(32)).astype(np.uint32).view(np.int32)), pa.array(alone)],
                         ["id", "text_hash", "place", "rank", "next_rank", "alone"],
                     )
 
