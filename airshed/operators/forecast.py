@@ -57,10 +57,12 @@ def _last_within(f: Column, b: int, side: int) -> Column:
     subtraction of doubles decides it: f + side * b moved by up to two units in the last place of any
     of the three numbers, of which the furthest that passes is taken."""
     x = f + F.lit(float(side * b))
-    steps = [(u, k) for u in (_ulp(x), _ulp(f), F.lit(2.0 ** (int(math.log2(b)) - 52))) for k in (0.25, 0.5, 1.0, 2.0)]
-    tries = [x, *(x + F.lit(sign * k) * u for u, k in steps for sign in (-1, 1))]
-    passing = [F.when((y - f if side > 0 else f - y) <= F.lit(float(b)), y) for y in tries]
-    return (F.greatest if side > 0 else F.least)(*passing)
+    units = F.array(_ulp(x), _ulp(f), F.lit(2.0 ** (int(math.log2(b)) - 52)))
+    steps = F.array(*[F.lit(sign * k) for k in (0.25, 0.5, 1.0, 2.0) for sign in (-1, 1)])
+    tries = F.concat(F.array(x), F.flatten(F.transform(units, lambda u: F.transform(steps, lambda k: x + k * u))))
+    if side > 0:
+        return F.array_max(F.filter(tries, lambda y: y - f <= F.lit(float(b))))
+    return F.array_min(F.filter(tries, lambda y: f - y <= F.lit(float(b))))
 
 
 def _bucket(v: Column) -> Column:
@@ -174,9 +176,12 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
         k = F.greatest(n, F.lit(1))
         return F.when(n > 0, _moments(n, F.col("own.mean") + s / k, F.greatest(q - s * s / k, F.lit(0.0)))).otherwise(_nothing())
 
-    below = _merged(F.col("before.m"), moments(F.col("c"), F.col("s"), F.col("q")))
     # deviations from the mean sum to zero over the bucket
-    above = _merged(moments(F.col("own.n") - F.col("c"), -F.col("s"), F.col("own.m2") - F.col("q")), F.col("after.m"))
+    rows = rows.withColumns({
+        "lower": moments(F.col("c"), F.col("s"), F.col("q")),
+        "upper": moments(F.col("own.n") - F.col("c"), -F.col("s"), F.col("own.m2") - F.col("q")),
+    })
+    below, above = _merged(F.col("before.m"), F.col("lower")), _merged(F.col("upper"), F.col("after.m"))
     answer = rows.select(
         *KEY, "forecast_lead_time_hours", "f", "n_f", "N", "a_min", "a_max", *[f"k{k}" for k in CLASS_CODES], "probe",
         (F.col("before.m.n") + F.col("c")).cast("bigint").alias("upto"), below.alias("below"), above.alias("above"),
@@ -201,7 +206,8 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
     # errors below are f - a, above a - f; an empty side weighs nothing
     under = _moments(F.col("below.n"), f_ - F.col("below.mean"), F.col("below.m2"))
     over = _moments(F.col("above.n"), F.col("above.mean") - f_, F.col("above.m2"))
-    return stats.withColumn("e", _merged(under, over)).select(
+    stats = stats.withColumns({"under": under, "over": over})
+    return stats.withColumn("e", _merged(F.col("under"), F.col("over"))).select(
         *KEY,
         "forecast_lead_time_hours",
         f_.alias("forecasted_aqi"),
@@ -265,3 +271,10 @@ def forecast_accuracy(forecast: DataFrame, current: DataFrame, as_of: str | None
         C.forecast_horizon("forecast_lead_time_hours").alias("forecast_horizon"),
     )
 
+
+
+def from_unified(unified: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(forecast, current) as forecast_accuracy takes them, from the unified readings."""
+    own = {"forecast_date": "measurement_date", "forecast_hour": "measurement_hour", "forecast_datetime": "measurement_datetime"}
+    f = unified.filter(F.col("data_type") == "forecast").select("country", "city", "aqi", F.to_date("ingestion_timestamp").alias("forecast_created_date"), *[F.col(v).alias(k) for k, v in own.items()])
+    return f, unified.filter(F.col("data_type") == "current")

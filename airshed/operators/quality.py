@@ -33,6 +33,16 @@ def check_duplicates(staged: DataFrame, ts: str = "measurement_timestamp") -> Da
     )
 
 
+def violations(staged: DataFrame, ts: str = "measurement_timestamp") -> dict[str, int]:
+    """Number of violating rows (groups, for duplicates) of each check, in two passes."""
+    lat, lon, aqi = F.col("lat"), F.col("lon"), F.col("aqi")
+    row = staged.agg(
+        F.count_if((aqi < AQI_MIN) | (aqi > AQI_MAX)).alias("check_aqi_range"),
+        F.count_if((lat < LAT_MIN) | (lat > LAT_MAX) | (lon < LON_MIN) | (lon > LON_MAX)).alias("check_coordinates"),
+    ).first()
+    return {**row.asDict(), "check_duplicates": check_duplicates(staged, ts).count()}
+
+
 CHECKS = {
     "check_aqi_range": check_aqi_range,
     "check_coordinates": check_coordinates,

@@ -4,53 +4,93 @@ only the small final result is meant to be collected by a caller."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# The published read caps.
-MART_ROW_CAP = 10_000
-RANKING_ROW_CAP = 100
-PREVIEW_ROWS = 20
-TOP_N_DEFAULT, TOP_N_MIN, TOP_N_MAX = 10, 5, 50
+BINS = 4096  # of the newest-first cut
 
 
-def in_published_order(df: DataFrame, mart: str) -> DataFrame:
-    """A mart in the order its model declares. A read-time sort (range
-    partitioned, parallel); published tables are only clustered within files."""
+
+def _published_orders() -> dict[str, tuple[list, list]]:
+    """By mart: the columns of its order that a few rows share, and those within them."""
     from airshed.functions.classify import season_order
 
-    orders = {
-        "fct_daily_air_quality_summary": ["country", "city", "measurement_date"],
-        "city_air_quality_rankings": [F.col("measurement_year").desc(), F.col("measurement_month").desc(), "global_aqi_rank"],
-        "forecast_accuracy_analysis": ["country", "city", "forecast_lead_time_hours"],
-        "temporal_air_quality_patterns": ["country", "city", "measurement_year", season_order("season")],
+    place = [F.col("country").asc(), F.col("city").asc()]
+    return {
+        "fct_daily_air_quality_summary": (place, [F.col("measurement_date").asc()]),
+        "city_air_quality_rankings": ([F.col("measurement_year").desc(), F.col("measurement_month").desc()], [F.col("global_aqi_rank").asc()]),
+        "forecast_accuracy_analysis": (place, [F.col("forecast_lead_time_hours").asc()]),
+        "temporal_air_quality_patterns": (place, [F.col("measurement_year").asc(), season_order("season").asc()]),
     }
-    return df.orderBy(*orders[mart])
 
 
-def newest_first(df: DataFrame, order: str, limit: int = MART_ROW_CAP, tie: Sequence[str] = ()) -> DataFrame:
-    """The `limit` newest rows by a low-cardinality column (a date), newest first.
+ORDER_GROUPS = {"city_air_quality_rankings": ["measurement_year", "measurement_month"]}
 
-    A plain orderBy + limit sends up to `limit` rows from every scan task to one
-    reducer. Here the rows per order value are counted first (combines map-side; one
-    row per date), the oldest value still needed is found from the running count of
-    newer rows (a window over the distinct dates only), and only rows from that value
-    on reach the final top-k. Exact: the rows kept are the same as a full sort's.
-    """
-    per_value = df.groupBy(order).agg(F.count(F.lit(1)).alias("_n"))
-    newer = Window.orderBy(F.col(order).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    cutoff = (
-        per_value.select(order, F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_newer"))
-        .filter(F.col("_newer") < limit)
-        .agg(F.min(order))
-    )
-    kept = df.filter(F.col(order) >= cutoff.scalar())
-    return kept.orderBy(F.col(order).desc(), *tie).limit(limit)
 
-
-def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
-    """The first n rows."""
+def in_published_order(df: DataFrame, mart: str) -> DataFrame:
+    """A mart in the order its model declares. A read-time sort (range
+    partitioned, parallel); published tables are only clustered within files."""
+    outer, inner = _published_orders()[mart]
+    return df.orderBy(*outer, *inner)
+
+
+def with_position(df: DataFrame, mart: str, tie: Sequence[str] = ()) -> DataFrame:
+    """O1-O4 as a column: each row's place (from 1) in the mart's order, ties by `tie`.
+    Places are counted within a group of the leading columns (one city, or one month)
+    and added to the number of rows in earlier groups, a window over one row per group."""
+    outer, inner = _published_orders()[mart]
+    group = ORDER_GROUPS.get(mart, ["country", "city"])
+    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy(*outer).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*[F.col(g).alias(f"_{g}") for g in group], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*group).orderBy(*inner, *tie))
+    placed = df.withColumn("_place", within)
+    same = reduce(lambda x, y: x & y, (F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group))
+    out = placed.join(offsets, same).withColumn("position", F.col("_before") + F.col("_place"))
+    return out.select(*df.columns, "position")
+
+
+def newest_first(df: DataFrame, order: str, limit: int | None = None, tie: Sequence[str] = ()) -> DataFrame:
+    """Rows newest first by `order`, ties by the `tie` columns, NULL orders last; all
+    of them, or the first `limit`. Without `tie` the rows at the cut are any of equals.
+
+    All rows: a range-partitioned sort. With a limit, a plain orderBy + limit sends up to
+    `limit` rows from every scan task to one reducer. Here the rows are counted per value
+    in at most BINS bins between the least and the greatest value (combines map-side), and
+    only rows from the oldest bin still needed on reach the final top-k; NULL orders
+    take part while fewer rows than `limit` have a value. The rows are a full sort's.
+    """
+    if limit is None:
+        return df.orderBy(F.col(order).desc_nulls_last(), *tie)
+    kind = df.schema[order].dataType
+    if isinstance(kind, T.DateType):
+        place = F.unix_date(order).cast("double")
+    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        place = F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    elif isinstance(kind, T.NumericType):
+        place = F.col(order).cast("double")
+    else:  # no bins for text: the top-k alone
+        return df.orderBy(F.col(order).desc_nulls_last(), *tie).limit(limit)
+    ends = df.agg(F.min(place).alias("lo"), F.max(place).alias("hi")).first()
+    if ends["lo"] is None:
+        return df.orderBy(*tie).limit(limit) if tie else df.limit(limit)
+    width = max((ends["hi"] - ends["lo"]) / BINS, 1e-9)
+    bin_ = F.floor((place - F.lit(ends["lo"])) / F.lit(width))
+    counts = df.filter(F.col(order).isNotNull()).groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("bin").desc()).collect()  # at most BINS + 1 rows
+    newer, cut = 0, None
+    for r in counts:
+        cut, newer = r["bin"], newer + r["n"]
+        if newer >= limit:
+            break
+    kept = df.filter(bin_ >= cut) if newer >= limit else df
+    return kept.orderBy(F.col(order).desc_nulls_last(), *tie).limit(limit)
+
+
+def preview(df: DataFrame, n: int) -> DataFrame:
+    """Any n rows."""
     return df.limit(n)
 
 
@@ -86,10 +126,8 @@ def daily_trend(daily_fact: DataFrame, cities: Sequence[str] = (), metric: str =
     )
 
 
-def top_cities(rankings: DataFrame, n: int = TOP_N_DEFAULT) -> DataFrame:
+def top_cities(rankings: DataFrame, n: int) -> DataFrame:
     """The n most polluted city-months by monthly mean AQI (top-k)."""
-    if not TOP_N_MIN <= n <= TOP_N_MAX:
-        raise ValueError(f"n must be within {TOP_N_MIN}..{TOP_N_MAX}")
     return (
         rankings.orderBy(
             F.col("monthly_avg_aqi").desc(),
@@ -112,18 +150,10 @@ def forecast_error_series(accuracy: DataFrame) -> DataFrame:
 
 
 def hourly_heatmap(measurements: DataFrame) -> DataFrame:
-    """City x hour of day mean AQI over actual readings (forecasts excluded)."""
-    return (
-        measurements.filter(F.col("data_type") != "forecast")
-        .groupBy("country", "city", "measurement_hour")
-        .agg(F.avg("aqi").alias("avg_aqi"), F.count(F.lit(1)).alias("measurements"))
-    )
+    """Data type x city x hour of day mean AQI."""
+    return measurements.groupBy("data_type", "country", "city", "measurement_hour").agg(F.avg("aqi").alias("avg_aqi"), F.count(F.lit(1)).alias("measurements"))
 
 
 def geo_aqi(measurements: DataFrame) -> DataFrame:
-    """Mean AQI per reported location (actual readings)."""
-    return (
-        measurements.filter(F.col("data_type") != "forecast")
-        .groupBy("country", "city", "lat", "lon")
-        .agg(F.avg("aqi").alias("avg_aqi"), F.count(F.lit(1)).alias("measurements"))
-    )
+    """Mean AQI per data type and reported location."""
+    return measurements.groupBy("data_type", "country", "city", "lat", "lon").agg(F.avg("aqi").alias("avg_aqi"), F.count(F.lit(1)).alias("measurements"))

@@ -173,9 +173,7 @@ def temporal_patterns(unified: DataFrame) -> DataFrame:
         "seasonal_avg_pm25",
         "seasonal_avg_pm10",
         "seasonal_unhealthy_percentage",
-        "peak_pollution_hour",
-        "best_air_quality_hour",
-        "weekday_avg_aqi",
-        "weekend_avg_aqi",
+        # equality matches no NULL: a city without a name has no pattern of its own
+        *[F.when(F.col("country").isNotNull() & F.col("city").isNotNull(), F.col(c)).alias(c) for c in ("peak_pollution_hour", "best_air_quality_hour", "weekday_avg_aqi", "weekend_avg_aqi")],
         F.row_number().over(w).cast("bigint").alias("seasonal_cleanliness_rank"),
     )

@@ -7,6 +7,7 @@ table is read back by later layers instead of being recomputed.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -25,13 +26,24 @@ class Context:
     keep_incomplete: bool = False
     dedupe: bool = False
     fix_night: bool = False
+    written: str | None = None  # root of the tables of earlier runs
     frames: dict[str, DataFrame] = field(default_factory=dict)
 
     def ref(self, name: str) -> DataFrame:
+        """The model as built in this run, else as an earlier run wrote it, else built now."""
         if name not in self.frames:
-            self.frames[name] = MODELS[name].build(self)
+            self.frames[name] = self._earlier(name) or MODELS[name].build(self)
         return self.frames[name]
 
+    def _earlier(self, name: str) -> DataFrame | None:
+        if self.written is None or MODELS[name].materialized != "table":
+            return None
+        path = os.path.join(self.written, name)
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS"))
+        if not where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+            return None
+        return self.spark.read.parquet(path)
+
 
 @dataclass(frozen=True)
 class Model:
@@ -70,12 +82,12 @@ _LIST = [
        partition_by=("measurement_date",), cluster_by=("country", "city")),
     _m("fct_daily_air_quality_summary", "marts", "table",
        lambda c: daily.fct_daily_summary(c.ref("int_air_quality_daily_summary")),
-       partition_by=("data_type",), cluster_by=("country", "city", "measurement_date")),
+       partition_by=("measurement_date",), cluster_by=("country", "city")),
     _m("city_air_quality_rankings", "marts", "table",
        lambda c: rankings.city_rankings(c.ref("int_air_quality_daily_summary")),
        cluster_by=("measurement_year", "measurement_month", "global_aqi_rank")),
     _m("forecast_accuracy_analysis", "marts", "table",
-       lambda c: forecast.forecast_accuracy(c.ref("stg_air_quality_forecast"), c.ref("stg_air_quality_current"), c.as_of),
+       lambda c: forecast.forecast_accuracy(*forecast.from_unified(c.ref("int_air_quality_unified")), c.as_of),
        cluster_by=("country", "city", "forecast_lead_time_hours")),
     _m("temporal_air_quality_patterns", "marts", "table",
        lambda c: temporal.temporal_patterns(c.ref("int_air_quality_unified")),

@@ -7,18 +7,23 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from airshed.sources.chunks import CHUNK_DAYS
 from airshed.sources.schema import RAW_COLUMNS
 
 
-def land_historical(df: DataFrame, root: str) -> str:
-    """K1: append history records under root/historical/country=/city=/.
+def land_historical(df: DataFrame, root: str, start: int = 0, end: int | None = None, chunk_days: int = CHUNK_DAYS) -> str:
+    """K1: history records of a load, under root/historical/country=/city=/range=/chunk=.
 
-    Appending keeps the published rerun behaviour: a second load of the same range
-    adds a second copy (H13; stage with dedupe=True to keep the newest). Empty input
-    writes no data file.
+    The load is named by its range (start and end epoch seconds); a record's chunk is the
+    piece of `chunk_days` of that range it lies in. A rerun of the same range replaces each
+    chunk it fetched again; another end date is another range and adds a second copy
+    (H13; stage with dedupe=True to keep the newest). Empty input writes no data file.
     """
     path = os.path.join(root, "historical")
-    df.select(*RAW_COLUMNS).write.mode("append").partitionBy("country", "city").json(path)
+    chunk = F.coalesce(F.floor((F.col("dt") - start) / (chunk_days * 86400)), F.lit(-1)) + 1
+    keyed = df.select(*RAW_COLUMNS, F.lit(f"{start}-{'open' if end is None else end}").alias("range"), chunk.cast("bigint").alias("chunk"))
+    w = keyed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    w.partitionBy("country", "city", "range", "chunk").json(path)
     return path
 
 

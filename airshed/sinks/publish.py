@@ -20,7 +20,7 @@ PARAMETERS = [
 ]
 UNIT = "μg/m³"
 
-FACT_LONG_COLUMNS = ["date_local", "city", "parameter", "value", "unit", "latitude", "longitude", "created_at"]
+FACT_LONG_COLUMNS = ["date_local", "city", "parameter", "value", "unit", "latitude", "longitude", "created_at", "data_type"]
 
 
 def publish(
@@ -33,14 +33,17 @@ def publish(
 ) -> None:
     """K4 / K7: full replace of a mart, optionally partitioned and clustered.
 
-    Clustering is a sort within each task's output (partition columns first, so the
-    writer adds no sort of its own), which gives tight parquet min/max statistics per
-    file for city filters. No global sort and no extra shuffle.
+    A partitioned write is rebalanced by its partition columns first: a folder gets as
+    many files as its size asks for (a large day is split, small ones share tasks), not one
+    per task that holds a row of it. Clustering is a sort within each task's output
+    (partition columns first, so the writer adds no sort of its own), which gives tight
+    parquet min/max statistics per file for city filters. No global sort.
     """
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
     order = [*partition_by, *cluster_by]
-    out = df.sortWithinPartitions(*order) if order else df
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = out.sortWithinPartitions(*order) if order else out
     w = out.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -56,14 +59,14 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
-def to_long(unified: DataFrame, data_types: Sequence[str] = ("historical", "current")) -> DataFrame:
-    """K6: one row per measured parameter of a good-quality actual reading
-    (forecasts are left out: the table has no data type column). NULL values are not
-    facts and are dropped."""
-    src = unified.filter((F.col("is_data_quality_issue") == 0) & F.col("data_type").isin(*data_types))
+def to_long(unified: DataFrame) -> DataFrame:
+    """K6: one row per parameter of a good-quality reading, of every data type and with
+    NULL values as they are (value is nullable)."""
+    src = unified.filter(F.col("is_data_quality_issue") == 0)
     long = src.select(
         F.col("measurement_datetime").alias("date_local"),
         "city",
+        "data_type",
         F.col("lat").alias("latitude"),
         F.col("lon").alias("longitude"),
         F.col("ingestion_timestamp").alias("created_at"),
@@ -71,9 +74,9 @@ def to_long(unified: DataFrame, data_types: Sequence[str] = ("historical", "curr
             F.array(*[F.struct(F.lit(label).alias("parameter"), F.col(col).alias("value")) for col, label in PARAMETERS])
         ).alias("_p"),
     )
-    return long.filter(F.col("_p.value").isNotNull()).select(
+    return long.select(
         "date_local", "city", F.col("_p.parameter").alias("parameter"), F.col("_p.value").alias("value"),
-        F.lit(UNIT).alias("unit"), "latitude", "longitude", "created_at",
+        F.lit(UNIT).alias("unit"), "latitude", "longitude", "created_at", "data_type",
     )
 
 

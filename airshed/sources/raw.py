@@ -76,18 +76,13 @@ def read_mart_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 
 def read_mart(
-    spark: SparkSession, source: str, order: str | None = None, limit: int | None = None, fmt: str = "parquet"
+    spark: SparkSession, source: str, order: str | None = None, limit: int | None = None, fmt: str = "parquet", tie: Sequence[str] = ()
 ) -> DataFrame:
-    """A published mart by table name or path, newest first and capped.
-
-    With a cap, the rows are cut at the oldest `order` value still needed before the
-    top-k (reads.newest_first), so no reducer receives a top-k from every scan task.
-    """
+    """A published mart by table name or path; with `order` newest first (NULLs last,
+    ties by the `tie` columns), with `limit` only so many rows (reads.newest_first)."""
     from airshed.operators.reads import newest_first
 
     df = spark.read.format(fmt).load(source) if os.sep in source or "://" in source else spark.table(source)
-    if order and limit is not None:
-        return newest_first(df, order, limit)
     if order:
-        df = df.orderBy(F.col(order).desc())
+        return newest_first(df, order, limit, tie)
     return df.limit(limit) if limit is not None else df

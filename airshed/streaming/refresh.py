@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +25,15 @@ from airshed.session import scratch_path, use_utc
 STAGERS = {"current": staging.stage_current, "forecast": staging.stage_forecast}
 
 
-def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path: str, checkpoint: str | None = None):
+def _remove_folder(spark: SparkSession, root: str, country: str | None, day) -> None:
+    jvm = spark.sparkContext._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    name = "__HIVE_DEFAULT_PARTITION__" if country is None else escape(country)
+    path = jvm.org.apache.hadoop.fs.Path(f"{root}/country={name}/ingest_date={day}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path: str, checkpoint: str | None = None, max_files: int = 1000):
     """Stage newly landed `kind` files into `out_path` (parquet, partitioned by
     country and ingest_date). The checkpoint defaults to a folder under the shared
     spark.checkpoint.dir. Returns the finished StreamingQuery."""
@@ -38,26 +47,37 @@ def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path:
         spark.readStream.schema(schema)
         .option("mode", "FAILFAST")
         .option("allowNonNumericNumbers", "false")
+        .option("maxFilesPerTrigger", max_files)
         .json(os.path.join(landing_root, kind))
     )
 
-    landed = spark.read.schema(schema).option("mode", "FAILFAST").json(os.path.join(landing_root, kind))
-
     def write_batch(batch: DataFrame, _epoch: int) -> None:
-        # Re-stage every landed file of the (country, day) partitions this batch touches,
-        # not just the batch's files: a day is then always replaced whole, whether its
-        # files arrived in one micro-batch or several, and a retried batch rewrites the
-        # same result (idempotent). The semi-join on the partition columns prunes the
-        # landing scan to those days.
-        touched = batch.select("country", "ingest_date").distinct()
-        day_rows = landed.join(touched, ["country", "ingest_date"], "left_semi")
-        staged = stage(day_rows.select(*RAW_COLUMNS)).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
+        # Re-stage every landed file of the (country, day) folders this batch touches, not
+        # just the batch's files: a day is then always replaced whole, whether its files
+        # arrived in one micro-batch or several, and a retried batch rewrites the same result
+        # (idempotent). The files are listed here, after the batch was planned, so none
+        # that the batch knows of can be missing. The folders of a batch are at most its
+        # files (maxFilesPerTrigger); as literals they prune the scan to those folders.
+        days: dict[str | None, list] = {}
+        for r in batch.select("country", "ingest_date").distinct().collect():
+            days.setdefault(r["country"], []).append(r["ingest_date"])
+        if not days:
+            return
+        touched = reduce(lambda x, y: x | y, (F.col("country").eqNullSafe(F.lit(c)) & F.col("ingest_date").isin(d) for c, d in days.items()))
+        landed = spark.read.schema(schema).option("mode", "FAILFAST").option("allowNonNumericNumbers", "false").json(os.path.join(landing_root, kind))
+        staged = stage(landed.filter(touched).select(*RAW_COLUMNS)).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("country", "ingest_date")
             .parquet(out_path)
         )
+        # a touched day without a row left has no folder to overwrite: remove the old one
+        filled = {(r["country"], r["ingest_date"]) for r in staged.select("country", "ingest_date").distinct().collect()}
+        for country, dates in days.items():
+            for d in dates:
+                if (country, d) not in filled:
+                    _remove_folder(spark, out_path, country, d)
 
     q = (
         src.writeStream.foreachBatch(write_batch)
