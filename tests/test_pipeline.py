@@ -106,3 +106,55 @@ def test_refresh_restages_whole_days(spark, tmp_path):
     refresh_staged(spark, land, "current", out)
     got = sorted((r.country, str(r.ingest_date)) for r in spark.read.parquet(out).collect())
     assert got == [("UK", "2024-01-01"), ("UK", "2024-01-02"), ("USA", "2024-01-01")]
+
+
+def test_refresh_lists_inside_the_batch_and_empties_days(spark, tmp_path, monkeypatch):
+    import datetime as dt
+
+    from airshed.sources.schema import RAW
+    from airshed.streaming import refresh
+
+    land, out, ck = (str(tmp_path / n) for n in ("land", "out", "ck"))
+    day = lambda d, h=6: dt.datetime(2024, 1, d, h, tzinfo=dt.timezone.utc)
+    row = lambda t, c, a: (t, c, "X", 1.0, 2.0, 1704088800, a, None)
+    put = lambda *rows: landing.land_current(spark.createDataFrame(list(rows), RAW), land)
+    put(row(day(10), "UK", 1.0), row(day(12), "A/B =c", 1.0))
+    read = type(spark).readStream
+    monkeypatch.setattr(type(spark), "readStream", property(lambda self: (put(row(day(11), "UK", 2.0)), read.fget(self))[1]))
+    refresh_staged(spark, land, "current", out, ck)  # day 11 lands while the stream starts
+    monkeypatch.undo()
+    staged = lambda: sorted((r.country, r.ingest_date.day, r.aqi) for r in spark.read.parquet(out).collect())
+    assert staged() == [("A/B =c", 12, 1.0), ("UK", 10, 1.0), ("UK", 11, 2.0)]
+    put(row(day(10, 9), "UK", None), row(day(12, 9), "A/B =c", None))  # reruns without a complete row
+    refresh_staged(spark, land, "current", out, ck)
+    assert staged() == [("UK", 11, 2.0)]
+    assert refresh.STAGERS["current"]
+
+
+def test_marts_after_a_full_run_read_no_raw_json(spark, landed, tmp_path):
+    out = str(tmp_path)
+    pipeline.run_pipeline(spark, _ctx(spark, landed), out)
+    ctx = _ctx(spark, landed)
+    ctx.written = out
+    from airshed.plans.models import MODELS
+
+    for m in MODELS.values():
+        if m.layer == "marts":
+            plan = m.build(ctx)._jdf.queryExecution().executedPlan().toString().lower()
+            assert "json" not in plan and "parquet" in plan, m.name
+    steps = pipeline.run_pipeline(spark, _ctx(spark, landed), out, select=["marts"])
+    assert all(s.ok for s in steps) and len(steps) == 5
+
+
+def test_a_city_without_a_name_has_no_pattern(spark):
+    import datetime as dt
+
+    from airshed.operators import staging, temporal, unified
+    from airshed.sources.schema import RAW
+
+    t = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [(t, "UK", c, 1.0, 2.0, 1704067200 + h * 3600, float(5 + h), None) for c in ("X", None) for h in range(5)]
+    empty = spark.createDataFrame([], RAW)
+    u = unified.unify(staging.stage_historical(spark.createDataFrame(rows, RAW)), staging.stage_current(empty), staging.stage_forecast(empty))
+    got = {r.city: (r.peak_pollution_hour, r.best_air_quality_hour, r.weekday_avg_aqi) for r in temporal.temporal_patterns(u).collect()}
+    assert got == {"X": (4, 0, 7.0), None: (None, None, None)}

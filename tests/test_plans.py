@@ -50,5 +50,5 @@ def test_rank_windows_share_partitioning(feeds):
 
 
 def test_newest_first_cuts_before_the_top_k(feeds):
-    p = plan(E.QUERIES["newest_daily_summary"](feeds))
-    assert "Subquery" in p and "TakeOrderedAndProject" in p
+    p = plan(E.QUERIES["newest_daily_top"](feeds))
+    assert "TakeOrderedAndProject" in p and "FLOOR" in p  # rows of older bins are filtered first

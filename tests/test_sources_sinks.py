@@ -66,8 +66,10 @@ def test_flatten_history_is_strict(spark):
         json.dumps({"list": [ITEM, no_main]}),  # one bad item rejects the response
         json.dumps({"list": [dict(ITEM, components={})]}),  # empty components is present
     ]
+    responses += ["{not json", "[]", None, json.dumps({"list": [dict(ITEM, dt="x")]})]
     good, rejected = payloads.flatten_history(_payload_frame(spark, responses))
-    assert good.count() == 3 and rejected.count() == 1
+    assert good.count() == 3
+    assert sorted(r.reason for r in rejected.collect()) == ["incomplete item"] + ["malformed"] * 4
     empty = good.filter(F.col("components.co").isNull()).count()
     assert empty == 1
 
@@ -76,15 +78,18 @@ def test_flatten_forecast_is_lenient(spark):
     no_main = {k: v for k, v in ITEM.items() if k != "main"}
     no_comp = {k: v for k, v in ITEM.items() if k != "components"}
     responses = [json.dumps({"list": [ITEM, no_main, no_comp]}), json.dumps({"nolist": 1}), json.dumps({"list": []})]
-    out = payloads.flatten_forecast(_payload_frame(spark, responses)).collect()
-    assert len(out) == 3
+    out, rejected = payloads.flatten_forecast(_payload_frame(spark, responses + ["{not json"]))
+    out = out.collect()
+    assert len(out) == 3 and rejected.count() == 1
     assert sorted([r.aqi is None for r in out]) == [False, False, True]
     assert sum(r.components.co is None for r in out) == 1
 
 
 def test_flatten_current_accepts_both_shapes(spark):
     responses = [json.dumps(ITEM), json.dumps({"list": [ITEM]}), json.dumps({})]
-    out = payloads.flatten_current(_payload_frame(spark, responses)).collect()
+    out, rejected = payloads.flatten_current(_payload_frame(spark, responses + ["{not json"]))
+    assert rejected.count() == 1
+    out = out.collect()
     assert [r.aqi for r in out] == [2.0, 2.0, None]
     assert [r.dt for r in out] == [1704067200, 1704067200, None]
 
@@ -92,18 +97,19 @@ def test_flatten_current_accepts_both_shapes(spark):
 def test_flatten_joins_city_attributes_when_missing(spark):
     rows = [("UK", "London", T0, json.dumps(ITEM))]
     df = spark.createDataFrame(rows, "country string, city string, ingestion_timestamp timestamp, response string")
-    out = payloads.flatten_current(df, cities.city_dim(spark)).collect()
+    out = payloads.flatten_current(df, cities.city_dim(spark))[0].collect()
     assert out[0].lat == 51.5072 and out[0].lon == -0.1276
 
 
-def test_landing_round_trip_and_rerun_duplicates(spark, tmp_dir):
+def test_landing_is_keyed_by_range_and_chunk(spark, tmp_dir):
     hist = raw_rows(spark, [rec(T0, "UK", "London", 1704067200, 2.0), rec(T0, "UK", "New Town", 1704070800, 3.0),
                             rec(T0, "USA", "Boston", 1704067200, 1.0)])
-    landing.land_historical(hist, tmp_dir)
+    landing.land_historical(hist, tmp_dir, 1704067200, 1706659200)
+    landing.land_historical(hist, tmp_dir, 1704067200, 1706659200)  # the same load again replaces itself
     assert raw.read_historical(spark, tmp_dir).count() == 3
     assert raw.read_historical(spark, tmp_dir, ["UK"]).count() == 2
     later = raw_rows(spark, [rec(T2, "UK", "London", 1704067200, 5.0)])
-    landing.land_historical(later, tmp_dir)  # a rerun appends a second copy
+    landing.land_historical(later, tmp_dir, 1704067200, 1709251200)  # another end date adds a second copy
     back = raw.read_historical(spark, tmp_dir)
     assert back.count() == 4
     from airshed.operators import quality
@@ -152,7 +158,8 @@ def test_long_fact_layout(spark, tmp_dir):
     empty = spark.createDataFrame([], RAW)
     u = unified.unify(st, staging.stage_current(empty), staging.stage_forecast(empty))
     long = publish.to_long(u)
-    assert long.count() == 8 and sorted(r.parameter for r in long.collect())[:2] == ["CO", "NH3"]
+    rows = long.collect()  # every parameter of every reading; a missing value stays, as NULL
+    assert len(rows) == 16 and sum(r.value is None for r in rows) == 8 and {r.data_type for r in rows} == {"historical"}
     path = os.path.join(tmp_dir, "fact_long")
     publish.write_fact_long(long, path)
     assert os.listdir(path).count("date_local_day=2024-01-01") == 1
@@ -185,3 +192,51 @@ def test_newest_first_equals_a_full_sort(spark, k):
     got = [tuple(r) for r in reads.newest_first(fact, "measurement_date", k, tie).select("daily_summary_id", "data_type").collect()]
     want = [tuple(r) for r in fact.orderBy(F.col("measurement_date").desc(), *tie).limit(k).select("daily_summary_id", "data_type").collect()]
     assert got == want and len(got) == min(k, fact.count())
+
+
+def test_newest_first_keeps_null_orders(spark):
+    from airshed.operators import reads
+
+    day = dt.date
+    df = spark.createDataFrame([(day(2024, 1, 1), 1), (day(2024, 1, 2), 2), (None, 3), (None, 4), (day(2024, 1, 2), 5)], "d date, i int")
+    for k in (1, 2, 3, 4, 5, 10, None):
+        want = [5, 2, 1, 4, 3][: k or 5]
+        assert [r.i for r in reads.newest_first(df, "d", k, [F.col("i").desc()]).collect()] == want
+    for col in ("cast(d as timestamp)", "cast(i as double)", "cast(d as string)"):
+        by = df.withColumn("o", F.expr(col))
+        assert [r.i for r in reads.newest_first(by, "o", 3, ["i"]).collect()] == [r.i for r in by.orderBy(F.col("o").desc(), "i").limit(3).collect()]
+    assert reads.newest_first(df.filter("d is null"), "d", 1, ["i"]).collect()[0].i == 3 and reads.newest_first(df.limit(0), "d", 3).count() == 0
+
+
+def test_partitioned_write_makes_files_by_size_not_by_task(spark, tmp_dir):
+    df = spark.range(0, 4000, 1, 8).selectExpr("date_add(date'2024-01-01', cast(id % 100 as int)) AS day", "id")
+    path = os.path.join(tmp_dir, "days")
+    publish.publish(df, path=path, partition_by=["day"])
+    files = [f for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")]
+    assert len(files) <= 110 and spark.read.parquet(path).count() == 4000
+
+
+def test_submitted_settings_win(monkeypatch):
+    from airshed import session
+
+    monkeypatch.setattr(session.SparkContext, "_active_spark_context", None)
+    monkeypatch.delenv("PYSPARK_GATEWAY_PORT", raising=False)
+    monkeypatch.setenv("PYSPARK_SUBMIT_ARGS", "--conf spark.executor.extraJavaOptions=-XX:+UseG1GC --conf spark.sql.adaptive.enabled=false pyspark-shell")
+    put = {}
+
+    class Builder:
+        def appName(self, name):
+            return self
+
+        def config(self, k, v):
+            put[k] = v
+            return self
+
+        def getOrCreate(self):
+            raise StopIteration
+
+    monkeypatch.setattr(session.SparkSession, "builder", Builder())
+    with pytest.raises(StopIteration):
+        session.build_session(**{"spark.sql.shuffle.partitions": "3"})
+    assert put["spark.executor.extraJavaOptions"] == f"-XX:+UseG1GC {session.JIT_HUGE}" and put["spark.sql.shuffle.partitions"] == "3"
+    assert "spark.sql.adaptive.enabled" not in put and put["spark.sql.session.timeZone"] == "UTC"
