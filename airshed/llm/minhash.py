@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from .tables import keyed, read_table, shown_id, written
+from .tables import keyed, order_id, read_table, shown_id, written
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5  # a pair at 0.85 shares no band with probability 4e-7
@@ -117,13 +117,13 @@ def _sets(batches):
             yield pa.RecordBatch.from_arrays([batch.column("class").slice(first, len(offsets) - 1), A.long_lists(shingles, offsets)], ["class", "shingles"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets satisfy 100 * intersection >= percent * union."""
+def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their full sets' intersection and union."""
     left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("set_b"))
-    both = F.size(F.array_intersect("set_a", "set_b"))
-    joined = pairs.join(right, "b").join(left, "a").select("a", "b", both.alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum"))
-    return joined.filter(100 * F.col("both") >= percent * (F.col("sum") - F.col("both"))).select("a", "b")
+    joined = pairs.join(right, "b").join(left, "a")
+    joined = joined.select("a", "b", F.size(F.array_intersect("set_a", "set_b")).alias("both"), (F.size("set_a") + F.size("set_b")).alias("sum"))
+    return written(joined.select("a", "b", "both", (F.col("sum") - F.col("both")).alias("union")), "measured")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -179,7 +179,8 @@ def _unsettled(members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept, text_hash."""
+    """One row per document: doc_id, n_shingles, component_id, kept; id and text_hash, which
+    name its text, and group, which names its component (null without shingles)."""
     texts = keyed(docs)
     signed = written(texts.mapInArrow(_sign, _SIGNATURES), "signatures")
     classes = written(
@@ -190,50 +191,73 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     def similar_sizes(a, b):  # sets this different in size cannot reach the similarity
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
-    def stars(of):  # the weightiest class of each bucket with every other
-        hubs = of.groupBy("key").agg(F.max(F.struct("weight", "class", "n")).alias("hub"))
-        rays = of.join(hubs, "key").filter(F.col("class") != F.col("hub.class")).filter(similar_sizes(F.col("n"), F.col("hub.n")))
-        return rays.select(F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")).distinct()
+    def with_hub(of):  # the weightiest class of each bucket
+        return of.join(of.groupBy("key").agg(F.max(F.struct("weight", "class", "n")).alias("hub")), "key")
+
+    def pair(x, y):
+        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+    def stars(of):  # it with every other
+        rays = of.filter(F.col("class") != F.col("hub.class")).filter(similar_sizes(F.col("n"), F.col("hub.n")))
+        return rays.select(*pair("class", "hub.class")).distinct()
+
+    def links(of):
+        return of.filter(100 * F.col("both") >= percent * F.col("union")).select("a", "b")
 
     touched = classes.join(members.select("class").distinct(), "class", "left_semi").select("class", "id", "text_hash")
     found = texts.join(touched, ["id", "text_hash"]).select("class", "text").mapInArrow(_sets, _SETS)
     sets = written(found.groupBy("class").agg(F.first("shingles").alias("shingles")), "sets")  # once, if rows repeat
 
-    tried = written(stars(members), "pairs")
-    edges = written(verified(tried, sets, percent), "edges")
-    roots = components(edges)
+    tried = measured(written(stars(with_hub(members)), "pairs"), sets)
+    roots = components(links(tried))
 
     # buckets that still hold several components: leave out classes too few of whose
-    # shingles are in any other open class, then stars again, then every open pair
+    # shingles are in any other open class, then stars again
     left = _unsettled(_labelled(members, roots))
     open_sets = sets.join(left.select("class").distinct(), "class", "left_semi").select("class", F.explode("shingles").alias("shingle"))
     lonely = open_sets.groupBy("shingle").agg(F.count(F.lit(1)).alias("in"), F.min("class").alias("class")).filter("in = 1")
     alone = lonely.groupBy("class").agg(F.count(F.lit(1)).alias("alone"))
     left = left.join(alone, "class", "left").withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
-    left = written(_unsettled(left.filter(100 * F.col("common") >= percent * F.col("n"))), "unsettled")
-
-    more = written(stars(left).join(tried, ["a", "b"], "left_anti"), "pairs")
-    tried = tried.union(more)
-    edges = edges.union(written(verified(more, sets, percent), "edges"))
-    roots = components(edges)
-
-    left = written(_unsettled(_labelled(left, roots)), "unsettled")
+    left = left.withColumn("weight", F.floor(1_000_000 * F.col("common") / F.col("n")))  # the centre now: the class with the least of its own
+    left = written(with_hub(_unsettled(left.filter(100 * F.col("common") >= percent * F.col("n")))), "unsettled")
+    tried = tried.union(measured(written(stars(left).join(tried, ["a", "b"], "left_anti"), "pairs"), sets))
+    roots = components(links(tried))
+
+    # then every open pair that could suffice. What two classes share lies in their hub or
+    # outside it; both parts are bounded, as their intersections with the hub are known
+    left = _unsettled(_labelled(left, roots)).withColumn("__hub", F.col("hub.class"))
+    known = tried.select("a", "b", F.col("both").alias("in_hub"))
+    left = left.withColumns(dict(zip("ab", pair("class", "__hub")))).join(known, ["a", "b"], "left")
+    in_hub = F.when(F.col("class") == F.col("__hub"), F.col("n")).otherwise(F.col("in_hub"))
+    left = written(left.withColumn("in_hub", in_hub).select("key", "class", "n", "root", "common", "in_hub"), "unsettled")
     x, y = left.alias("x"), left.alias("y")
-    overlap = (100 + percent) * F.least("x.common", "y.common") >= percent * (F.col("x.n") + F.col("y.n"))  # at most the common shingles are shared
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & overlap)
+    parts = F.least("x.in_hub", "y.in_hub") + F.least(F.col("x.common") - F.col("x.in_hub"), F.col("y.common") - F.col("y.in_hub"))
+    known_both = F.col("x.in_hub").isNotNull() & F.col("y.in_hub").isNotNull()
+    bound = F.when(known_both, F.least(parts, "x.common", "y.common")).otherwise(F.least("x.common", "y.common"))
+    enough = (100 + percent) * bound >= percent * (F.col("x.n") + F.col("y.n"))
+    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & enough)
     rest = written(cross.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
-    edges = edges.union(written(verified(rest, sets, percent), "edges"))
-    roots = components(edges)
+    roots = components(links(tried.union(measured(rest, sets))))
 
     smallest = classes.select("class", "id").join(roots, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("root", "class").alias("root"))
     component = smallest.groupBy("root").agg(F.min("id").alias("component"))
-    of_class = smallest.join(component, "root").select("class", "component")
+    of_class = smallest.join(component, "root").select("class", "component", "root")
     out = signed.drop("bands").join(of_class, "class", "left").withColumn("component", F.coalesce("component", "id"))
     return out.select(
-        shown_id().alias("doc_id"), "n_shingles", shown_id("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"), "text_hash"
+        shown_id().alias("doc_id"), "n_shingles", shown_id("component").alias("component_id"), (F.col("id") == F.col("component")).alias("kept"), "id", "text_hash", F.col("root").alias("group")
     )
 
 
+def without_near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """The input's rows without near duplicates: of each component one row stays, that of
+    its smallest id (of rows that repeat an id, one of them); rows without words all stay."""
+    has_words = F.coalesce(F.col("text").cast("string").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    first = near_duplicates(docs, percent).filter("kept and group is not null").groupBy("group").agg(F.min(F.struct("id", "text_hash")).alias("m"))
+    named = docs.filter(has_words).withColumns({"__id": order_id(), "__hash": F.xxhash64(F.col("text"))})
+    kept = named.join(first.select(F.col("m.id").alias("__id"), F.col("m.text_hash").alias("__hash")), ["__id", "__hash"], "left_semi")
+    return kept.dropDuplicates(["__id", "__hash"]).select(*docs.columns).union(docs.filter(~has_words))
+
+
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
