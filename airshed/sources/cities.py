@@ -21,5 +21,8 @@ SCHEMA = "country string, city string, lat double, lon double"
 
 
 def city_dim(spark: SparkSession, rows: list[tuple] | None = None) -> DataFrame:
-    """The city dimension as a DataFrame; a literal list, so broadcasting it is safe."""
-    return F.broadcast(spark.createDataFrame(rows or CITIES, SCHEMA))
+    """The city dimension as a DataFrame. The built-in list is a literal of eight rows, so
+    it carries a broadcast hint; a caller's list may have any length and carries none."""
+    if rows is None:
+        return F.broadcast(spark.createDataFrame(CITIES, SCHEMA))
+    return spark.createDataFrame(rows, SCHEMA)
