@@ -118,6 +118,14 @@ def prefix(part: np.ndarray) -> np.ndarray:
     return total
 
 
+def prefix_items(hashes: np.ndarray) -> np.ndarray:
+    """Prefix sums over item hashes, as prefix() over bytes."""
+    total = np.empty(len(hashes) + 1, dtype=np.uint64)
+    total[0] = 0
+    np.cumsum(hashes * _POW.get(len(hashes) + 1)[0][: len(hashes)], out=total[1:])
+    return total
+
+
 def spans_of(total: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of the spans [starts, ends) from prefix sums."""
     return mix((total[ends] - total[starts]) * _POW.get(len(total))[1][starts])

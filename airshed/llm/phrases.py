@@ -7,16 +7,18 @@ smaller id; the first document that holds a passage keeps it.
    one document only cannot belong to a recurring window. Seeds are counted with a
    map-side combine.
 2. Documents with recurring seeds are cut into segments, the words of the windows around
-   one seed. Equal segments are merged (with the smallest id that holds them) before
-   anything is gathered, so a passage in a third of all documents is one row.
-3. Segments go to shards by seed. In a shard, windows in two or more segments are
-   confirmed, compiled into an automaton (pyahocorasick; one letter per distinct word) and
-   every segment is streamed through it; each occurrence tells the smallest id that holds
-   the window. The number of shards follows the number of recurring seeds. Seeds in more
-   than HOT documents can have as many surroundings as documents, more than a shard should
-   hold; their windows are matched by an aggregate on the window's words instead, which
-   holds no group in memory.
-4. Each document joins the results of its segments and drops the covered words.
+   one seed, named by seed and hash; the smallest id that holds each is found by an
+   aggregate, so a passage in a third of all documents is one row. A segment that an
+   earlier document holds goes whole.
+3. Where a seed has several segments, their windows must be compared. Each such segment's
+   words are read once, from its first holder, and go to a shard by seed. There the windows
+   in two or more segments are confirmed, compiled into an automaton (pyahocorasick, one
+   letter per distinct word), and every segment is streamed through it; each occurrence
+   tells the smallest id that holds the window. The number of shards follows the number of
+   recurring seeds. Seeds in more than HOT documents can have as many surroundings as
+   documents, more than a shard should hold; their windows are matched by an aggregate on
+   the window's words instead, which holds no group in memory.
+4. Each document joins what was found and drops the covered words.
 
 A null text has no words; a null doc_id comes after all others (in an order fixed by the
 text); rows that repeat a doc_id do not count as smaller than each other; texts of fewer
@@ -34,25 +36,30 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .sampling import runs
-from .tables import keyed, read_table, shown_id, written
+from .tables import key_filter, keyed, may_hold, read_table, shown_id, written
 
 WINDOW = 13
 SEED = 4  # words
 HOT = 2_000  # documents with one seed; beyond, windows are matched by an aggregate
 SHARD = 20_000  # recurring seeds in a shard, about
 _SEEDS = "seed long, id long"
-_SEGMENTS = "seed long, hot boolean, segment binary, segment_hash long, id long, text_hash long, lo long"
+_OCCURRENCES = "seed long, segment_hash long, id long, text_hash long, lo long, n int"
+_SEGMENTS = "seed long, hot boolean, segment_hash long, segment binary, id long"
 _LOCATED = "seed long, segment_hash long, holders array<long>"
 _KEPT = "id long, n_words long, n_removed long, kept string"
 
 
 def _runs(offsets, buf, window: int):
+    """(runs, their segments' hashes, their rows, row offsets)."""
     starts, ends, rows = A.words(buf, offsets, A.SPACE, fold=False)
-    return runs(A.grams(A.span_hashes(buf, starts, ends, fold=False), SEED), rows, window, SEED), rows
+    hashes = A.span_hashes(buf, starts, ends, fold=False)
+    r = runs(A.grams(hashes, SEED), rows, window, SEED)
+    segments = A.spans_of(A.prefix_items(hashes), r.first, r.last + window)
+    return r, segments, np.searchsorted(rows, r.first, side="right") - 1, rows
 
 
-def _own(seed: np.ndarray, row: np.ndarray) -> np.ndarray:
-    return A.mix(seed + A.mix(row.astype(np.uint64) + A.U(1)))
+def _own(keys: np.ndarray, row: np.ndarray) -> np.ndarray:
+    return A.mix(keys + A.mix(row.astype(np.uint64) + A.U(1)))
 
 
 def _seeds(window: int):
@@ -60,46 +67,59 @@ def _seeds(window: int):
         for batch in batches:
             ids = batch.column("id")
             for first, offsets, buf in A.pieces(batch.column("text")):
-                r, rows = _runs(offsets, buf, window)
-                row = np.searchsorted(rows, r.first, side="right") - 1
+                r, _, row, _ = _runs(offsets, buf, window)
                 once = np.unique(_own(r.seed, row), return_index=True)[1]
                 yield pa.RecordBatch.from_arrays([A.longs(r.seed[once]), ids.take(pa.array(row[once] + first))], ["seed", "id"])
 
     return find
 
 
+def _occurrences(window: int, known):
+    def find(batches):
+        for batch in batches:
+            for first, offsets, buf in A.pieces(batch.column("text")):
+                r, segments, row, rows = _runs(offsets, buf, window)
+                take = np.flatnonzero(may_hold(known.value, r.seed))
+                src = pa.array(row[take] + first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        A.longs(r.seed[take]), A.longs(segments[take]), batch.column("id").take(src), batch.column("text_hash").take(src),
+                        pa.array(r.first[take] - rows[row[take]]), pa.array((r.last - r.first + 1)[take].astype(np.int32)),
+                    ],
+                    ["seed", "segment_hash", "id", "text_hash", "lo", "n"],
+                )
+
+    return find
+
+
 def _segments(window: int):
+    """The words of the segments that the rows' lists `wanted` name, each once per row."""
+
     def cut(batches):
         for batch in batches:
             for first, offsets, buf in A.pieces(batch.column("text")):
                 n = len(offsets) - 1
-                wanted = batch.column("seeds").slice(first, n)
+                wanted = batch.column("wanted").slice(first, n)
                 of = np.repeat(np.arange(n), np.diff(wanted.offsets.to_numpy()))
-                both = wanted.flatten()
-                seed, hot = (both.field(c).to_numpy(zero_copy_only=False) for c in ("seed", "hot"))
-                r, rows = _runs(offsets, buf, window)
-                row = np.searchsorted(rows, r.first, side="right") - 1
-                keys = _own(seed.astype(np.int64).view(np.uint64).copy(), of)
+                names = wanted.flatten()
+                seed, segment = (names.field(c).to_numpy().view(np.uint64) for c in ("seed", "segment_hash"))
+                keys = _own(seed + A.mix(segment.copy()), of)
+                r, segments, row, rows = _runs(offsets, buf, window)
+                mine, once = np.unique(_own(r.seed + A.mix(segments.copy()), row), return_index=True)
                 order = np.argsort(keys)
-                mine = _own(r.seed, row)
-                at = order[np.minimum(np.searchsorted(keys, mine, sorter=order), len(order) - 1)] if len(order) else np.zeros(len(mine), np.int64)
-                take = np.flatnonzero(keys[at] == mine) if len(order) else np.zeros(0, np.int64)
-                row, at = row[take], at[take]
-                lo, hi = r.first[take] - rows[row], r.last[take] - rows[row] + window
-                segments, last, split = [], -1, []
-                for i, a, b in zip(row.tolist(), lo.tolist(), hi.tolist()):
+                at = order[np.minimum(np.searchsorted(keys, mine, sorter=order), len(order) - 1)]
+                held = keys[at] == mine
+                take, at = once[held], at[held]
+                by_place = np.argsort(take)
+                take, hot = take[by_place], names.field("hot").to_numpy(zero_copy_only=False).astype(bool)[at[by_place]]
+                out, last, split = [], -1, []
+                for i, a, b in zip(row[take].tolist(), (r.first - rows[row])[take].tolist(), (r.last - rows[row] + window)[take].tolist()):
                     if i != last:
                         split, last = buf[offsets[i] : offsets[i + 1]].tobytes().split(), i
-                    segments.append(b" ".join(split[a:b]))
-                data = pa.array(segments, pa.binary())
-                hashes = np.zeros(0, np.uint64)
-                if segments:
-                    off = np.frombuffer(data.buffers()[1], np.int32)[: len(segments) + 1].astype(np.int64)
-                    hashes = A.span_hashes(np.frombuffer(data.buffers()[2], np.uint8), off[:-1], off[1:], fold=False)
-                src = pa.array(row + first)
+                    out.append(b" ".join(split[a:b]))
                 yield pa.RecordBatch.from_arrays(
-                    [A.longs(r.seed[take]), pa.array(hot.astype(bool)[at]), data, A.longs(hashes), batch.column("id").take(src), batch.column("text_hash").take(src), pa.array(lo)],
-                    ["seed", "hot", "segment", "segment_hash", "id", "text_hash", "lo"],
+                    [A.longs(r.seed[take]), pa.array(hot), A.longs(segments[take]), pa.array(out, pa.binary()), batch.column("id").take(pa.array(row[take] + first))],
+                    ["seed", "hot", "segment_hash", "segment", "id"],
                 )
 
     return cut
@@ -156,9 +176,10 @@ def _drop(window: int):
                 gone = np.zeros(len(split) + 1, np.int64)
                 if found[i].is_valid:
                     v = found[i].values
-                    at = v.field("at").to_numpy()[v.field("text_hash").to_numpy() == hashes[i].as_py()]
+                    mine = v.field("text_hash").to_numpy() == hashes[i].as_py()
+                    at = v.field("at").to_numpy()[mine]
                     np.add.at(gone, at, 1)
-                    np.add.at(gone, at + window, -1)
+                    np.add.at(gone, at + v.field("n").to_numpy()[mine] + (window - 1), -1)
                     left = [w for w, g in zip(split, np.cumsum(gone[:-1])) if not g]
                 else:
                     left = split
@@ -173,28 +194,36 @@ def _drop(window: int):
 def remove_repeated_phrases(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (the words left, one space between)."""
     texts = keyed(docs)
-    seeds = texts.mapInArrow(_seeds(window), _SEEDS)
-    recurring = written(seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed", (F.col("n") > HOT).alias("hot")), "seeds")
+    counted = texts.mapInArrow(_seeds(window), _SEEDS).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    recurring = written(counted.select("seed", (F.col("n") > HOT).alias("hot")), "seeds")
     shards = max(1, -(-recurring.count() // SHARD))
 
-    wanted = seeds.join(recurring, "seed").groupBy("id").agg(F.collect_list(F.struct("seed", "hot")).alias("seeds"))
-    segments = texts.join(wanted, "id").mapInArrow(_segments(window), _SEGMENTS)
-    merged = segments.groupBy("seed", "segment_hash", "segment", "hot").agg(F.min("id").alias("id"))
+    known = docs.sparkSession.sparkContext.broadcast(key_filter(recurring, "seed"))  # 8 MB
+    occurrences = written(texts.mapInArrow(_occurrences(window, known), _OCCURRENCES).join(recurring, "seed"), "occurrences")
+    first = occurrences.groupBy("seed", "segment_hash", "hot").agg(F.min("id").alias("holder"))
+    several = first.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
+    first = written(first.join(several.withColumn("several", F.lit(True)), "seed", "left").withColumn("several", F.coalesce("several", F.lit(False))), "first")
+
+    name = F.struct("seed", "hot", "segment_hash")
+    wanted = first.filter("several").groupBy(F.col("holder").alias("id")).agg(F.collect_list(name).alias("wanted"))
+    segments = written(texts.join(wanted, "id").mapInArrow(_segments(window), _SEGMENTS).dropDuplicates(["seed", "segment_hash"]), "segments")
 
     shard = F.pmod(F.xxhash64("seed"), F.lit(shards))
-    located = merged.filter("not hot").withColumn("shard", shard).groupBy("shard").applyInArrow(_locate(window), _LOCATED)
+    located = segments.filter("not hot").withColumn("shard", shard).groupBy("shard").applyInArrow(_locate(window), _LOCATED)
 
     parts = F.split(F.col("segment").cast("string"), " ")
     every = F.transform(F.sequence(F.lit(1), F.size("words") - (window - 1)), lambda i: F.array_join(F.slice("words", i, window), " "))
-    hot = merged.filter("hot").select("seed", "segment_hash", "id", parts.alias("words")).select("seed", "segment_hash", "id", F.posexplode(every).alias("at", "phrase"))
+    hot = segments.filter("hot").select("seed", "segment_hash", "id", parts.alias("words")).select("seed", "segment_hash", "id", F.posexplode(every).alias("at", "phrase"))
     least = hot.groupBy("seed", "phrase").agg(F.min("id").alias("holder"))
     hot = hot.join(least, ["seed", "phrase"]).groupBy("seed", "segment_hash").agg(F.sort_array(F.collect_list(F.struct("at", "holder"))).alias("all"))
-    located = located.union(hot.select("seed", "segment_hash", F.col("all.holder").alias("holders")))
-
-    occurrences = segments.select("seed", "segment_hash", "id", "text_hash", "lo").join(located, ["seed", "segment_hash"])
-    places = F.transform("holders", lambda holder, j: F.when(holder < F.col("id"), F.struct("text_hash", (F.col("lo") + j).alias("at"))))
-    hits = occurrences.select("id", F.filter(places, lambda p: p.isNotNull()).alias("hits")).filter(F.size("hits") > 0)
-    found = hits.groupBy("id").agg(F.flatten(F.collect_list("hits")).alias("found"))
+    located = written(located.union(hot.select("seed", "segment_hash", F.col("all.holder").alias("holders"))), "located")
+
+    held = occurrences.join(first.select("seed", "segment_hash", "holder", "several"), ["seed", "segment_hash"])
+    whole = held.filter("holder < id").select("id", F.struct("text_hash", F.col("lo").alias("at"), "n").alias("hit"))
+    open_ = held.filter("holder = id and several").join(located, ["seed", "segment_hash"])
+    places = F.transform("holders", lambda holder, j: F.when(holder < F.col("id"), F.struct("text_hash", (F.col("lo") + j).alias("at"), F.lit(1).alias("n"))))
+    partial = open_.select("id", F.explode(F.filter(places, lambda p: p.isNotNull())).alias("hit"))
+    found = whole.union(partial).groupBy("id").agg(F.collect_list("hit").alias("found"))
     out = texts.join(found, "id", "left").mapInArrow(_drop(window), _KEPT)
     return out.select(shown_id().alias("doc_id"), "n_words", "n_removed", "kept")
 

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.session import scratch_path
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 NULL_IDS = 1 << 62  # ids from here on stand for null ids
 
 
@@ -17,7 +20,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     and a lost executor costs a read, not a recomputation."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")  # nothing but the table is read again: the shuffle files can go
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -40,3 +48,27 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def shown_id(name: str = "id") -> Column:
     return F.when(F.col(name) < NULL_IDS, F.col(name))
+
+
+FILTER_WORDS, FILTER_BITS = 1 << 20, 4  # 8 MB whatever the number of keys
+
+
+def key_filter(keys: DataFrame, name: str) -> np.ndarray:
+    """A blocked Bloom filter (one 64-bit word per key) of a column of 64-bit hashes, made
+    by an aggregate of at most FILTER_WORDS rows. It spares a later exact join rows without a
+    partner; where keys are so many that it lets most rows pass, the join does the work."""
+    k = F.col(name)
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(k, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(FILTER_BITS)]
+    words = keys.groupBy(F.shiftrightunsigned(k, 44).alias("word")).agg(F.bit_or(reduce(lambda a, b: a.bitwiseOR(b), bits)).alias("bits"))
+    out = np.zeros(FILTER_WORDS, dtype=np.uint64)
+    for rows in words.select("word", "bits").toArrow().to_batches():
+        out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(words: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the hashes the filter may hold."""
+    mask = np.zeros(len(keys), dtype=np.uint64)
+    for i in range(FILTER_BITS):
+        mask |= np.uint64(1) << ((keys >> np.uint64(6 * i)) & np.uint64(63))
+    return (words[(keys >> np.uint64(44)).astype(np.int64)] & mask) == mask
