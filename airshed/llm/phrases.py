@@ -15,9 +15,9 @@ smaller id; the first document that holds a passage keeps it.
    in two or more segments are confirmed, compiled into an automaton (pyahocorasick, one
    letter per distinct word), and every segment is streamed through it; each occurrence
    tells the smallest id that holds the window. The number of shards follows the number of
-   recurring seeds. Seeds in more than HOT documents can have as many surroundings as
-   documents, more than a shard should hold; their windows are matched by an aggregate on
-   the window's words instead, which holds no group in memory.
+   segments. A seed with more than HOT segments (a passage in very many surroundings) would
+   overfill a shard; its windows are matched by an aggregate on the window's words instead,
+   which holds no group in memory.
 4. Each document joins what was found and drops the covered words.
 
 A null text has no words; a null doc_id comes after all others (in an order fixed by the
@@ -40,8 +40,8 @@ from .tables import key_filter, keyed, may_hold, read_table, shown_id, written
 
 WINDOW = 13
 SEED = 4  # words
-HOT = 2_000  # documents with one seed; beyond, windows are matched by an aggregate
-SHARD = 20_000  # recurring seeds in a shard, about
+HOT = 2_000  # segments of one seed; beyond, windows are matched by an aggregate
+SHARD = 50_000  # segments in a shard, about
 _SEEDS = "seed long, id long"
 _OCCURRENCES = "seed long, segment_hash long, id long, text_hash long, lo long, n int"
 _SEGMENTS = "seed long, hot boolean, segment_hash long, segment binary, id long"
@@ -195,14 +195,13 @@ def remove_repeated_phrases(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (the words left, one space between)."""
     texts = keyed(docs)
     counted = texts.mapInArrow(_seeds(window), _SEEDS).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    recurring = written(counted.select("seed", (F.col("n") > HOT).alias("hot")), "seeds")
-    shards = max(1, -(-recurring.count() // SHARD))
-
+    recurring = written(counted.select("seed"), "seeds")
     known = docs.sparkSession.sparkContext.broadcast(key_filter(recurring, "seed"))  # 8 MB
-    occurrences = written(texts.mapInArrow(_occurrences(window, known), _OCCURRENCES).join(recurring, "seed"), "occurrences")
-    first = occurrences.groupBy("seed", "segment_hash", "hot").agg(F.min("id").alias("holder"))
-    several = first.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
-    first = written(first.join(several.withColumn("several", F.lit(True)), "seed", "left").withColumn("several", F.coalesce("several", F.lit(False))), "first")
+    occurrences = written(texts.mapInArrow(_occurrences(window, known), _OCCURRENCES).join(recurring, "seed", "left_semi"), "occurrences")
+    first = occurrences.groupBy("seed", "segment_hash").agg(F.min("id").alias("holder"))
+    several = first.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed", (F.col("n") > HOT).alias("hot"))
+    first = written(first.join(several, "seed", "left").withColumn("several", F.col("hot").isNotNull()), "first")
+    shards = max(1, -(-first.filter("not hot").count() // SHARD))
 
     name = F.struct("seed", "hot", "segment_hash")
     wanted = first.filter("several").groupBy(F.col("holder").alias("id")).agg(F.collect_list(name).alias("wanted"))
