@@ -92,9 +92,12 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     open_ = out.filter(F.col("canonical").isNotNull()).select(F.col("canonical")).distinct()
     possible = open_.join(bloom(listed), _word(F.col("canonical")) == F.col("word")).filter(_mask(F.col("canonical")).bitwiseAND(F.col("bits")) == _mask(F.col("canonical")))
     hits = possible.select("canonical").join(listed, "canonical").select("canonical", F.lit(True).alias("hit"))
-    out = out.join(hits, "canonical", "left")
-    decided = F.coalesce(F.col("ruled"), F.when(F.col("hit"), "block"), F.lit("allow"))
-    return out.select("page.*", "host", "path", "rule", decided.alias("verdict"))
+    # pages that a rule decides, or that have no host, take no part in the join (as null keys
+    # they would all meet in one task)
+    settled = out.filter(F.col("canonical").isNull()).select("page", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"))
+    asked = out.filter(F.col("canonical").isNotNull()).join(hits, "canonical", "left")
+    asked = asked.select("page", "host", "path", "rule", F.when(F.col("hit"), "block").otherwise("allow").alias("verdict"))
+    return settled.union(asked).select("page.*", "host", "path", "rule", "verdict")
 
 
 def held_twice(pages: DataFrame) -> DataFrame:
