@@ -105,10 +105,10 @@ def host_verdicts(ruled: DataFrame, limit: float = LIMIT) -> DataFrame:
 def judge(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     """One row per document: doc_id, source, counts, rules, base_failed, host_bad, kept."""
     ruled = written(document_rules(docs), "rules")
-    out = ruled.join(host_verdicts(ruled, limit).select("source", "bad"), "source", "left")
+    hosted = ruled.filter(F.col("source").isNotNull()).join(host_verdicts(ruled, limit).select("source", F.col("bad").alias("host_bad")), "source")
+    out = hosted.unionByName(ruled.filter(F.col("source").isNull()).withColumn("host_bad", F.lit(False)))  # no host, no join
     failed = F.col("few_words") | F.col("repeats")
-    host_bad = F.coalesce("bad", F.lit(False))
-    return out.withColumns({"base_failed": failed, "host_bad": host_bad, "kept": ~(failed | host_bad)}).drop("bad")
+    return out.withColumns({"base_failed": failed, "kept": ~(failed | F.col("host_bad"))})
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
