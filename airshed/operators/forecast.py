@@ -17,8 +17,8 @@ task. Count, mean and squared deviations of the actuals are kept per bucket and
 in order, to what lies before and after each bucket; as deviations from means are carried
 and never squares of values, the variance does not cancel.
 
-The bounds are decided by the published subtraction |f - a| <= b in floating point: the
-last value within b above f is the greatest double y near f + b with y - f <= b.
+The bounds are decided by the published subtraction |f - a| <= b of doubles: the last value
+within b above f is the greatest double y whose difference to f rounds to at most b.
 """
 
 from __future__ import annotations
@@ -47,22 +47,29 @@ def _as_of_day(as_of: str | None) -> Column:
     return F.current_date() if as_of is None else F.lit(as_of).cast("date")
 
 
-def _ulp(x: Column) -> Column:
-    """About one unit in the last place of |x|, as a power of two."""
-    return F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.abs(x), F.lit(1e-300)))) - 52)
+def _below(c: Column) -> Column:
+    """The double next below c."""
+    unit = F.pow(F.lit(2.0), F.floor(F.log2(F.greatest(F.abs(c), F.lit(1e-290)))) - 52)
+    half = c - unit / 2  # differs from c only where it is the next one
+    return F.when(half < c, half).otherwise(c - unit)
 
 
-def _last_within(f: Column, b: int, side: int) -> Column:
-    """The value furthest above (side 1) or below (side -1) f with |f - a| <= b, as the
-    subtraction of doubles decides it: f + side * b moved by up to two units in the last place of any
-    of the three numbers, of which the furthest that passes is taken."""
-    x = f + F.lit(float(side * b))
-    units = F.array(_ulp(x), _ulp(f), F.lit(2.0 ** (int(math.log2(b)) - 52)))
-    steps = F.array(*[F.lit(sign * k) for k in (0.25, 0.5, 1.0, 2.0) for sign in (-1, 1)])
-    tries = F.concat(F.array(x), F.flatten(F.transform(units, lambda u: F.transform(steps, lambda k: x + k * u))))
-    if side > 0:
-        return F.array_max(F.filter(tries, lambda y: y - f <= F.lit(float(b))))
-    return F.array_min(F.filter(tries, lambda y: f - y <= F.lit(float(b))))
+def _with_bounds(df: DataFrame, f: str) -> DataFrame:
+    """df with lo{b} and hi{b}: the least and greatest double y with |f - y| <= b as the
+    subtraction of doubles decides it. y - f rounds to at most b if and only if y <= f + b + h,
+    h half a unit in b's last place (ties round to b, which is even). With s = f + b rounded and
+    e what the rounding left out, that is the greatest double not above s + (e + h). The lower
+    bound is the upper one of -f, negated."""
+    names = [(side, b, f"_{side}{b}") for side in ("lo", "hi") for b in RATING_BOUNDS]
+    x = {side: F.col(f) if side == "hi" else -F.col(f) for side in ("lo", "hi")}
+    df = df.withColumns({f"{n}_s": x[side] + F.lit(float(b)) for side, b, n in names})
+    df = df.withColumns({f"{n}_d": F.col(f"{n}_s") - x[side] for side, _, n in names})
+    left = {n: (x[side] - (F.col(f"{n}_s") - F.col(f"{n}_d"))) + (F.lit(float(b)) - F.col(f"{n}_d")) for side, b, n in names}
+    df = df.withColumns({f"{n}_t": left[n] + F.lit(2.0 ** (int(math.log2(b)) - 53)) for _, b, n in names})
+    df = df.withColumns({f"{n}_c": F.col(f"{n}_s") + F.col(f"{n}_t") for _, _, n in names})
+    y = {n: F.when(F.col(f"{n}_c") - F.col(f"{n}_s") <= F.col(f"{n}_t"), F.col(f"{n}_c")).otherwise(_below(F.col(f"{n}_c"))) for _, _, n in names}
+    df = df.withColumns({f"{side}{b}": y[n] if side == "hi" else -y[n] for side, b, n in names})
+    return df.drop(*[f"{n}_{k}" for _, _, n in names for k in "sdtc"])
 
 
 def _bucket(v: Column) -> Column:
@@ -153,9 +160,9 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
     fv = F.col("f")
     probes = [F.struct(F.lit("at").alias("probe"), fv.alias("v"), F.lit(2).alias("rank"))]
     for b in RATING_BOUNDS:
-        probes.append(F.struct(F.lit(f"lo{b}").alias("probe"), _last_within(fv, b, -1).alias("v"), F.lit(0).alias("rank")))
-        probes.append(F.struct(F.lit(f"hi{b}").alias("probe"), _last_within(fv, b, 1).alias("v"), F.lit(2).alias("rank")))
-    asked = f.select(*KEY, "forecast_lead_time_hours", "f", "n_f", F.explode(F.array(*probes)).alias("p"))
+        probes.append(F.struct(F.lit(f"lo{b}").alias("probe"), F.col(f"lo{b}").alias("v"), F.lit(0).alias("rank")))
+        probes.append(F.struct(F.lit(f"hi{b}").alias("probe"), F.col(f"hi{b}").alias("v"), F.lit(2).alias("rank")))
+    asked = _with_bounds(f, "f").select(*KEY, "forecast_lead_time_hours", "f", "n_f", F.explode(F.array(*probes)).alias("p"))
     asked = asked.select(*KEY, "forecast_lead_time_hours", "f", "n_f", "p.probe", "p.v", "p.rank", F.lit(0).cast("bigint").alias("n_a"))
     none = {"forecast_lead_time_hours": "bigint", "f": "double", "n_f": "bigint", "probe": "string"}
     rows = asked.unionByName(a.select(*KEY, *[F.lit(None).cast(t).alias(c) for c, t in none.items()], "v", F.lit(1).alias("rank"), "n_a"))
