@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding by suffix-array matching.
 
 A batch's text is indexed, not each text by itself: the segments of the batch (spaces,
-then what follows up to the next space; no piece reaches further) that the task has not
-met yet are concatenated, and a suffix array over them is made by prefix doubling up to
+signs, then letters and digits; no piece reaches further) that the worker has not met yet
+are concatenated, and a suffix array over them is made by prefix doubling up to
 the longest piece. Every piece of the vocabulary is then searched by bisection, all at
 once, which gives its range of occurrences. These are edges (start, end, piece); sorted by
 end position they are relaxed from left to right: an edge extends the encoding that ends
@@ -26,6 +26,7 @@ empty result; other columns of the input are ignored.
 from __future__ import annotations
 
 import re
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +36,13 @@ from pyspark.sql import functions as F
 from .tables import read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-GROUP = 8 << 20  # bytes of text whose segments are indexed together
-CACHE = 300_000  # segments remembered by a task
+GROUP = 2 << 20  # bytes of text whose segments are indexed together
+CACHE = 300_000  # segments remembered by a Python worker
 CACHED = 64  # characters of the longest segment remembered
-_ROOT, _OTHER = -2, -1  # start of a segment; a character without a piece
-_SEGMENT = re.compile(r" *[^ ]+| +")
+INDEX = 400_000  # characters of segments in one suffix array, about
+PACK = 5  # symbols (of 12 bits) compared at once
+PAIRS = 1 << 21  # answers about pairs of pieces kept by a task
+_NONE, _ROOT = -2, -1  # no encoding ends here; start of a segment
 
 
 class Vocabulary:
@@ -52,6 +55,9 @@ class Vocabulary:
             self.bytes_of[i] = piece.encode()
         for b, i in enumerate(byte_ids):
             self.bytes_of[i] = bytes([b])
+        self.sizes = np.array([len(b) for b in self.bytes_of])
+        self.flat = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
+        self.at = np.cumsum(self.sizes) - self.sizes
 
     @classmethod
     def read(cls, path: str) -> Vocabulary:
@@ -79,9 +85,24 @@ class Encoder:
         for k, p in enumerate(order):
             self.grid[k, : len(p)] = [self.code[c] for c in p]
         self.points = np.array(sorted(ord(c) for c in self.code))
-        self.alone: dict[int, bool] = {}
-        self.pair: dict[int, bool] = {}
-        self.known: dict[str, list[int]] = {}
+        alone = np.fromiter((len(self.merges(p)) == 1 for p in order), dtype=bool, count=len(order))
+        # pieces that no merge ends in occur in no encoding
+        self.ids, self.lengths, self.grid = self.ids[alone], self.lengths[alone], self.grid[alone]
+        self.pair_key, self.pair_ok = np.full(PAIRS, -1, dtype=np.int64), np.zeros(PAIRS, dtype=bool)
+        self.known: dict[str, int] = {}  # segment -> its place in the store
+        self.store, self.at, self.size, self.used = np.zeros(1 << 16, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+        self.first = self._packed(np.concatenate([self.grid, np.zeros((len(self.grid), PACK), np.int64)], axis=1)[:, :PACK])
+        self.segment = self._cuts(order)
+
+    def _cuts(self, pieces: list[str]) -> re.Pattern:
+        """Segments that no piece leaves: spaces, signs, then letters and digits. A cut lies
+        before a space, around a character without a piece, and after a letter or digit that
+        no piece has before a sign."""
+        signs = {c for c in self.code if c != " " and not c.isalnum()}
+        joined = {a for p in pieces for a, b in zip(p, p[1:]) if b in signs}
+        word = {c for c in self.code if c.isalnum() and c not in joined}
+        w, s = ("".join(map(re.escape, sorted(x))) for x in (word, set(self.code) - word - {" "}))
+        return re.compile(f" *[{s}]*[{w}]+| *[{s}]+| +|[^ {s}{w}]")
 
     def merges(self, text: str) -> list[str]:
         """Plain BPE: the best-scored neighbours merge, the leftmost on ties."""
@@ -104,112 +125,165 @@ class Encoder:
             out.extend([found[0]] if found else [self.v.byte_ids[b] for b in p.encode()])
         return out
 
-    def _stands(self, piece: int) -> bool:
-        ok = self.alone.get(piece)
-        if ok is None:
-            ok = self.alone[piece] = len(self.merges(self.text_of[piece])) == 1
-        return ok
-
-    def _follows(self, a: int, b: int) -> bool:
-        key = a << 20 | b
-        ok = self.pair.get(key)
-        if ok is None:
-            x, y = self.text_of[a], self.text_of[b]
-            ok = self.pair[key] = x + y not in self.v.pieces and self.merges(x + y) == [x, y]
-        return ok
+    def _follows(self, keys: np.ndarray) -> np.ndarray:
+        """For pairs a << 20 | b: whether piece b can follow piece a. Answers are kept in a
+        table with one place per hash; a pair that lost its place is worked out again."""
+        place = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) & np.uint64(PAIRS - 1)).astype(np.int64)
+        miss = self.pair_key[place] != keys
+        if miss.any():
+            new, first = np.unique(keys[miss], return_index=True)
+            at = place[miss][first]
+            answers = np.fromiter((self._can_follow(int(k) >> 20, int(k) & 0xFFFFF) for k in new), dtype=bool, count=len(new))
+            self.pair_key[at], self.pair_ok[at] = new, answers
+            out = self.pair_ok[place]
+            lost = self.pair_key[place] != keys  # two new pairs of one place
+            if lost.any():
+                out[lost] = answers[np.searchsorted(new, keys[lost])] if np.isin(keys[lost], new).all() else [self._can_follow(int(k) >> 20, int(k) & 0xFFFFF) for k in keys[lost]]
+            return out
+        return self.pair_ok[place]
+
+    def _can_follow(self, a: int, b: int) -> bool:
+        x, y = self.text_of[a], self.text_of[b]
+        return x + y not in self.v.pieces and self.merges(x + y) == [x, y]
+
+    @staticmethod
+    def _packed(codes: np.ndarray) -> np.ndarray:
+        """PACK codes as one number that sorts like them."""
+        out = np.zeros(len(codes), dtype=np.int64)
+        for j in range(PACK):
+            out = out << 12 | codes[:, j]
+        return out
 
     def _edges(self, codes: np.ndarray):
-        """All (start, end, piece) at which a piece occurs, by end and longest first."""
+        """All (start, end, piece) at which a piece occurs."""
         n = len(codes)
-        rank, h = codes.astype(np.int64), 1
-        while h < self.longest:
+        padded = np.concatenate([codes, np.zeros(self.longest + PACK, np.int64)])
+        key = self._packed(np.stack([padded[j : n + j] for j in range(PACK)], axis=1))
+        rank, h = np.unique(key, return_inverse=True)[1].astype(np.int64), PACK
+        while h < self.longest:  # prefix doubling
             ahead = np.zeros(n, np.int64)
             ahead[: max(n - h, 0)] = rank[h:] + 1
-            rank = np.unique(rank * (int(rank.max()) + 2 + n) + ahead, return_inverse=True)[1].astype(np.int64) if n else rank
+            rank = np.unique(rank * (n + 2) + ahead, return_inverse=True)[1].astype(np.int64)
             h *= 2
         suffixes = np.argsort(rank, kind="stable")
-        padded = np.concatenate([codes, np.zeros(self.longest, np.int64)])
-        lo, hi = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), n, np.int64)
-        for depth in range(self.longest):
+        # bisect for all pieces: the first PACK symbols as one number, then one by one
+        key = key[suffixes]
+        open_ = (1 << 12 * np.maximum(PACK - self.lengths, 0)) - 1
+        lo, hi = np.searchsorted(key, self.first), np.searchsorted(key, self.first | open_, side="right")
+        for depth in range(PACK, self.longest):
             live = np.flatnonzero((self.lengths > depth) & (lo < hi))
+            want = self.grid[live, depth]
+            bounds = []
             for upper in (False, True):
                 a, b = lo[live].copy(), hi[live].copy()
-                want = self.grid[live, depth]
-                while (open_ := a < b).any():
+                while (going := a < b).any():
                     mid = (a + b) >> 1
                     seen = padded[suffixes[np.minimum(mid, n - 1)] + depth]
-                    right = (seen <= want if upper else seen < want) & open_
+                    right = (seen <= want if upper else seen < want) & going
                     a = np.where(right, mid + 1, a)
-                    b = np.where(open_ & ~right, mid, b)
-                if upper:
-                    hi[live] = a
-                else:
-                    new_lo = a
-            lo[live] = new_lo
+                    b = np.where(going & ~right, mid, b)
+                bounds.append(a)
+            lo[live], hi[live] = bounds
         times = np.maximum(hi - lo, 0)
         piece = np.repeat(np.arange(len(self.ids)), times)
         start = suffixes[np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))]
-        other = np.flatnonzero(codes == 1)
-        start, end = np.concatenate([start, other]), np.concatenate([start + self.lengths[piece], other + 1])
-        piece = np.concatenate([self.ids[piece], np.full(len(other), _OTHER)])
-        order = np.lexsort((start, end))
-        return start[order].tolist(), end[order].tolist(), piece[order].tolist()
-
-    def learn(self, segments: list[str]) -> list[list[int]]:
-        """Ids of each segment."""
+        return start, start + self.lengths[piece], self.ids[piece]
+
+    def learn(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, their number) of the segments, one after the other. Edges are sorted by the
+        place of their end in the segment, and all segments are relaxed together, place by place."""
         text = "\0".join(segments)
         points = np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
         at = np.minimum(np.searchsorted(self.points, points), len(self.points) - 1)
         codes = np.where(self.points[at] == points, at + 2, 1)
-        ends = np.cumsum([len(s) + 1 for s in segments]) - 1
-        codes[ends[:-1]] = 0  # the separators, whatever characters the text has
-        last: list[int | None] = [None] * (len(text) + 2)
-        back = [0] * (len(text) + 2)
-        begins = [0, *(ends[:-1] + 1).tolist()]
-        for b in begins:
-            last[b] = _ROOT
-        stands, follows = self._stands, self._follows
-        for s, e, piece in zip(*self._edges(codes)):
+        lengths = np.fromiter(map(len, segments), dtype=np.int64, count=len(segments))
+        begins = np.cumsum(lengths + 1) - lengths - 1
+        codes[begins[1:] - 1] = 0  # the separators, whatever characters the text has
+        start, end, piece = self._edges(codes)
+        depth = end - np.repeat(begins, lengths + 1)[start]
+        order = np.argsort(depth, kind="stable")
+        start, end, piece = start[order], end[order], piece[order]
+        last, back = np.full(len(codes) + 1, _NONE, dtype=np.int64), np.zeros(len(codes) + 1, dtype=np.int64)
+        last[begins] = _ROOT
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(depth))]) if len(depth) else [0]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            s, e, p = start[lo:hi], end[lo:hi], piece[lo:hi]
             before = last[s]
-            if before is None or last[e] is not None:
-                continue
-            if piece == _OTHER or (stands(piece) if before < 0 else follows(before, piece)):
-                last[e], back[e] = piece, s
-        out = []
-        for b, segment in zip(begins, segments):
-            e = b + len(segment)
-            if segment.startswith("  ") or last[e] is None:
-                out.append(self._spelled(self.merges(segment)))
-                continue
-            path = []
-            while e > b:
-                piece, s = last[e], back[e]
-                path.extend([piece] if piece >= 0 else [self.v.byte_ids[x] for x in reversed(text[s:e].encode())])
-                e = s
-            out.append(path[::-1])
-        return out
-
-    def encode(self, texts: list[str | None]) -> list[list[int] | None]:
-        split = [None if t is None else _SEGMENT.findall(" " + t.replace("▁", " ")) if t else [] for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        if len(self.pair) > 8 * CACHE:
-            self.pair.clear()
-        new = list({s for own in split if own for s in own if s not in self.known})
-        here = dict(zip(new, self.learn(new))) if new else {}
-        here_or = {**here}
-        known = self.known
-        out = []
-        for own in split:
-            if own is None:
-                out.append(None)
-                continue
-            ids: list[int] = []
-            for s in own:
-                ids += known[s] if s in known else here_or[s]
-            out.append(ids)
-        known.update((s, ids) for s, ids in here.items() if len(s) <= CACHED)
-        return out
+            ok = before != _NONE
+            pairs = np.flatnonzero(before >= 0)
+            ok[pairs] = self._follows(before[pairs] << 20 | p[pairs])
+            last[e[ok]], back[e[ok]] = p[ok], s[ok]
+
+        # the paths, from the ends of all segments at once
+        ends = begins + lengths
+        plain = (last[ends] != _NONE) & (lengths > 0)
+        plain &= np.fromiter((not s.startswith("  ") for s in segments), dtype=bool, count=len(segments))
+        of, now, found = np.flatnonzero(plain), ends[plain], []
+        while len(of):
+            found.append((of, last[now]))
+            now = back[now]
+            more = now > begins[of]
+            of, now = of[more], now[more]
+        of = np.concatenate([o for o, _ in found[::-1]]) if found else np.zeros(0, np.int64)
+        ids = np.concatenate([i for _, i in found[::-1]]) if found else np.zeros(0, np.int64)
+        # several spaces, characters without a piece: the merges themselves
+        rest = [(k, self._spelled(self.merges(segments[k]))) for k in np.flatnonzero(~plain).tolist()]
+        of = np.concatenate([of, *(np.full(len(x), k) for k, x in rest)]) if rest else of
+        ids = np.concatenate([ids, *(np.array(x, dtype=np.int64) for _, x in rest)]) if rest else ids
+        order = np.argsort(of, kind="stable")
+        return ids[order].astype(np.int32), np.bincount(of, minlength=len(segments))
+
+    def _remember(self, segments: list[str]) -> None:
+        ids, size = self.learn(segments)
+        if self.used + len(ids) > len(self.store):
+            self.store = np.concatenate([self.store[: self.used], np.zeros(max(self.used, len(ids)) + (1 << 16), np.int32)])
+        self.store[self.used : self.used + len(ids)] = ids
+        base = len(self.at)
+        self.at = np.concatenate([self.at, self.used + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.known.update(zip(segments, range(base, base + len(segments))))
+        self.used += len(ids)
+
+    def _forget(self, entries: int, used: int, segments: list[str]) -> None:
+        for s in segments:
+            del self.known[s]
+        self.at, self.size, self.used = self.at[:entries], self.size[:entries], used
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, row offsets) of the texts; null as empty."""
+        split = [self.segment.findall(" " + t.replace("▁", " ")) if t else [] for t in texts]
+        count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        total = int(count.sum())
+        place = np.fromiter(map(self.known.get, chain.from_iterable(split), repeat(-1)), dtype=np.int64, count=total)
+        entries, used, new, missing = len(self.at), self.used, [], np.flatnonzero(place < 0)
+        if len(missing):
+            flat = list(chain.from_iterable(split))
+            unknown = [flat[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unknown))
+            for block in _blocks([s for s in new if len(s) <= CACHED], INDEX):
+                self._remember(block)
+            for s in new:  # a long one by itself, so that its places do not lengthen the others'
+                if len(s) > CACHED:
+                    self._remember([s])
+            place[missing] = np.fromiter(map(self.known.__getitem__, unknown), dtype=np.int64, count=len(unknown))
+        size = self.size[place]
+        ids = self.store[np.repeat(self.at[place] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        rows = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
+        if len(self.known) > CACHE or any(len(s) > CACHED for s in new):
+            self._forget(entries, used, new)
+        return ids, rows
+
+
+def _blocks(segments: list[str], limit: int):
+    """Runs of segments of about `limit` characters."""
+    first, size = 0, 0
+    for i, s in enumerate(segments):
+        size += len(s) + 1
+        if size >= limit:
+            yield segments[first : i + 1]
+            first, size = i + 1, 0
+    if first < len(segments):
+        yield segments[first:]
 
 
 def _grouped(column, limit: int):
@@ -226,35 +300,49 @@ def _grouped(column, limit: int):
         yield first, group
 
 
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def _encoder(vocabulary: Vocabulary) -> Encoder:
+    """The worker's encoder for this vocabulary; the next task on the worker goes on with it."""
+    name = hash(tuple(vocabulary.pieces))
+    if name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[name] = Encoder(vocabulary)
+    return _ENCODERS[name]
+
+
 def _encode(vocabulary, columns):
     def encode(batches):
-        encoder = Encoder(vocabulary.value)
+        encoder = _encoder(vocabulary.value)
         for batch in batches:
             for first, group in _grouped(batch.column("text"), GROUP):
                 part = batch.slice(first, len(group))
-                ids = pa.array(encoder.encode(group), pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), ids], [*columns, "ids"])
+                ids, rows = encoder.encode(group)
+                null = pa.array([t is None for t in group])
+                lists = pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(ids), mask=null)
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), lists], [*columns, "ids"])
 
     return encode
 
 
 def _decode(vocabulary, columns):
     def decode(batches):
-        table = vocabulary.value.bytes_of
+        v = vocabulary.value
         for batch in batches:
-            for first, group in _grouped_lists(batch.column("ids")):
-                texts = [None if ids is None else b"".join([table[i] for i in ids])[1:].decode(errors="replace") for ids in group]
-                part = batch.slice(first, len(group))
+            for first in range(0, len(batch), 500):
+                part = batch.slice(first, 500)
+                lists = part.column("ids")
+                rows, ids = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)[lists.offsets[0].as_py() : lists.offsets[-1].as_py()]
+                size = v.sizes[ids]
+                out = v.flat[np.repeat(v.at[ids] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
+                ends = np.concatenate([[0], np.cumsum(size)])[rows - rows[0]].tolist()
+                texts = [out[a + 1 : b].decode(errors="replace") if ok else None for a, b, ok in zip(ends[:-1], ends[1:], lists.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(texts, pa.string())], [*columns, "decoded"])
 
     return decode
 
 
-def _grouped_lists(column, rows: int = 500):
-    for first in range(0, len(column), rows):
-        yield first, column.slice(first, rows).to_pylist()
-
-
 def _schema(df: DataFrame, added: str):
     from pyspark.sql import types as T
 
