@@ -96,9 +96,9 @@ def _bucket_totals(rows: DataFrame) -> DataFrame:
     """Per (key, bucket): moments of its actuals about their mean, and of all actuals of
     the key before and after the bucket; the key's extremes and class counts."""
     na, v = F.col("n_a"), F.col("v")
-    code = C.aqi_category_code(v)
     # deviations are taken from the bucket's middle, at most half a bucket away
-    d = v - (F.col("bucket") + 0.5) * BUCKET_WIDTH
+    rows = rows.select(*KEY, "bucket", "v", "n_a", C.aqi_category_code(v).alias("code"), (v - (F.col("bucket") + 0.5) * BUCKET_WIDTH).alias("d"))
+    code, d = F.col("code"), F.col("d")
     sums = rows.groupBy(*KEY, "bucket").agg(
         F.sum(na).alias("n"), F.sum(na * d).alias("s"), F.sum(na * d * d).alias("q"), F.min(F.when(na > 0, v)).alias("lo"), F.max(F.when(na > 0, v)).alias("hi"),
         *[F.sum(F.when(code == k, na).otherwise(0)).alias(f"k{k}") for k in CLASS_CODES],
