@@ -15,6 +15,18 @@ has no key cannot go back:
 * dates: over the days of a 400-year calendar cycle (146,097 = 189 x 773, which gives the
   halves), so that a date stays a date; a date's pseudonym is the same in every notation.
 
+Forms found (S: a space, no-break space, dot or hyphen):
+
+* IBANs in one word, or of the registry's countries and lengths with a space or hyphen anywhere.
+* cards in one word, grouped 4-4-4-1..7, 4-4-4-4-3, 4-6-4 or 4-6-5 by S; of a grouped card that
+  fails Luhn's rule, the part without the last group may pass it.
+* phones +1..3 digits and an area with two groups, digits in pairs (+33 1 23 45 67 89,
+  +34 612 34 56 78, +34 91 234 56 78) or after a trunk zero in brackets; national ones with a
+  leading 0 in pairs, as area and number (030/1234567, (030) 1234567) or in three groups;
+  612 34 56 78; ten digits as 3-3-4 by S, the first three also in brackets.
+* dates 2024-12-31, 31.12.2024 and 12/31/2024; the day is first where the month cannot be.
+* secrets after the names of NAMES (any case), quoted or not, with = : := or => and spaces.
+
 The text is split at the matches and joined again; quantifiers are bounded and anchored, so
 long texts take time in proportion. There is no shuffle.
 
@@ -38,16 +50,34 @@ ROUNDS = 8
 
 # fixed values: formats
 EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
-IBAN = r"(?<!\w)[A-Z]{2}\d{2}[A-Z0-9]{11,30}(?!\w)"
+S, GAP = r"[ \u00a0\u202f.-]", r"[ \u00a0\u202f-]"
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+    28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_SPACED = "|".join(rf"(?:{c.replace(' ', '|')})(?:{GAP}?\d){{2}}(?:{GAP}?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+IBAN = rf"(?<!\w)(?:[A-Z]{{2}}\d{{2}}[A-Z0-9]{{11,30}}|(?=[A-Z]{{2}}{GAP}?\d)(?:{_SPACED}))(?!\w)"
 DATE = r"(?<!\w)(?:\d{4}-\d{2}-\d{2}|\d{2}\.\d{2}\.\d{4}|\d{2}/\d{2}/\d{4})(?!\w)"
 ADDRESS = r"(?<![\w.])(?:\d{1,3}\.){3}\d{1,3}(?!\w|\.\d)"
-PHONE = r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<!\w)(?:\(\d{3}\) ?|\d{3}-)\d{3}-\d{4}(?!\w)"
+_ABROAD = rf"\+\d{{1,3}}{S}?(?:\(0\){S}?)?"
+PHONE = "|".join([
+    r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)",
+    r"(?<!\w)(?:\(\d{3}\) ?|\d{3}-)\d{3}-\d{4}(?!\w)",
+    rf"(?<![\w+]){_ABROAD}(?:\d(?:{S}?\d{{2}}){{4}}|\d{{2,5}}(?:{S}\d{{2}}){{2,5}}|\d{{2,3}}{S}\d{{3}}(?:{S}\d{{2}}){{2}}|\(?\d{{1,5}}\)?(?: ?/ ?|{S}?)\d{{3,4}}{S}?\d{{2,5}})(?!\w)",
+    rf"(?<!\w)(?!\d{{4}}{S}\d{{4}}{S}\d{{4}}{S}\d)(?:0\d(?:{S}\d{{2}}){{4}}|(?:\(0\d{{1,4}}\) ?|0\d{{1,4}}(?: ?/ ?|{GAP}))(?:\d{{5,9}}|\d{{3,4}}{GAP}\d{{3,5}}|\d{{2}}(?:{GAP}\d{{2}}){{2,4}}))(?!\w)",
+    rf"(?<!\w)(?:[6-9]\d{{2}}(?:{S}\d{{2}}){{3}}|[89]\d{S}\d{{3}}(?:{S}\d{{2}}){{2}}|(?:\(\d{{3}}\){S}?|\d{{3}}{S})\d{{3}}{S}\d{{4}})(?!\w)",
+])
 SSN = r"(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)"
-CARD = r"(?<!\w)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7})(?!\w)"
+CARD = rf"(?<!\w)(?:\d{{13,19}}|\d{{4}}{S}\d{{4}}{S}\d{{4}}{S}(?:\d{{4}}{S}\d{{3}}|\d{{1,7}})|\d{{4}}{S}\d{{6}}{S}\d{{4,5}})(?!\w)"
 ACCESS_KEY = r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"
 PASSWORD = r"(?<=password=)[^\s\"']{1,128}"
 TOKEN = r"(?<=token = \")[^\s\"]{1,256}(?=\")"
-PATTERN = "|".join([EMAIL, IBAN, DATE, ADDRESS, PHONE, SSN, CARD, ACCESS_KEY, PASSWORD, TOKEN])
+NAMES = r"(?:password|passwort|passwd|passphrase|pwd|secret|token|(?:api|access|private|secret)[ _-]?key)"
+_HEAD = rf"(?<![A-Za-z0-9])(?i:{NAMES})[\"']?[ \t]{{0,16}}(?::=|=>|[=:])[ \t]{{0,16}}"
+_NAMED = rf"(?!password=[^\s\"'])(?!token = \"[^\s\"]{{1,256}}\"){_HEAD}"  # but for the spellings above
+SECRET = rf"{_NAMED}(?:\"[^\"\r\n]{{1,4096}}\"|'[^'\r\n]{{1,4096}}'|[^\s\"']{{1,4096}})"
+PATTERN = "|".join([EMAIL, IBAN, DATE, ADDRESS, PHONE, SSN, CARD, ACCESS_KEY, PASSWORD, TOKEN, SECRET])
 DIGITS, SMALL, CAPITAL, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 CYCLE, DAYS_A, DAYS_B = 146_097, 189, 773
 
@@ -106,11 +136,11 @@ def _digits(m: Column) -> Column:
     return F.regexp_replace(m, r"\D", "")
 
 
-def _refilled(shape: Column, digits: Column, skip: Column) -> Column:
-    """`shape` with its digits, but for the first `skip`, replaced in order."""
+def _refilled(shape: Column, digits: Column, skip: Column, alphabet: str = DIGITS) -> Column:
+    """`shape` with its digits (symbols of `alphabet`), but for the first `skip`, replaced in order."""
 
     def put(a, c):
-        digit = F.instr(F.lit(DIGITS), c) > 0
+        digit = F.instr(F.lit(alphabet), c) > 0
         k = a["k"] + F.when(digit, 1).otherwise(0)
         new = F.when(digit & (k > skip), F.substr(digits, k - skip, F.lit(1))).otherwise(c)
         return F.struct(F.concat(a["s"], new).alias("s"), k.alias("k"))
@@ -135,7 +165,15 @@ def _card(m: Column, key: str) -> Column:
         body = permute_symbols(F.substr(d, F.lit(1), F.length(d) - 1), key, "card", (DIGITS,))
         return let(body, lambda b: F.concat(b, F.pmod(10 - luhn_sum(b, 1) % 10, F.lit(10)).cast("string")))
 
-    return let(_digits(m), lambda d: F.when((F.length(d) >= 13) & (luhn_sum(d, 0) % 10 == 0), let(new(d), lambda n: _refilled(m, n, F.lit(0)))).otherwise(m))
+    def valid(d):
+        return (F.length(d) >= 13) & (luhn_sum(d, 0) % 10 == 0)
+
+    # what is no card as a whole may be one without its last group (a check value that follows)
+    def part(d):
+        last = F.length(F.regexp_extract(m, rf"{S}(\d+)$", 1))
+        return F.when(valid(d), d).when(last > 0, let(F.substr(d, F.lit(1), F.length(d) - last), lambda x: F.when(valid(x), x)))
+
+    return let(_digits(m), lambda d: let(part(d), lambda x: F.when(x.isNotNull(), let(F.concat(new(x), F.substr(d, F.length(x) + 1, F.length(d))), lambda n: _refilled(m, n, F.lit(0)))).otherwise(m)))
 
 
 def _mod97(s: Column) -> Column:
@@ -147,13 +185,13 @@ def _mod97(s: Column) -> Column:
 
 
 def _iban(m: Column, key: str) -> Column:
-    country, body = F.substr(m, F.lit(1), F.lit(2)), F.substr(m, F.lit(5), F.length(m))
+    def new(s):
+        country, body = F.substr(s, F.lit(1), F.lit(2)), F.substr(s, F.lit(5), F.length(s))
+        checked = let(permute_symbols(body, key, "iban", (DIGITS, CAPITAL)), lambda b: F.concat(country, F.lpad((98 - _mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b))
+        valid = _mod97(F.concat(body, F.substr(s, F.lit(1), F.lit(4)))) == 1
+        return F.when(valid, let(checked, lambda n: _refilled(m, n, F.lit(0), DIGITS + CAPITAL))).otherwise(m)
 
-    def new(b):
-        return F.concat(country, F.lpad((98 - _mod97(F.concat(b, country, F.lit("00")))).cast("string"), 2, "0"), b)
-
-    valid = _mod97(F.concat(body, F.substr(m, F.lit(1), F.lit(4)))) == 1
-    return F.when(valid, let(permute_symbols(body, key, "iban", (DIGITS, CAPITAL)), new)).otherwise(m)
+    return let(F.regexp_replace(m, GAP, ""), new)
 
 
 def _address(m: Column, key: str) -> Column:
@@ -178,15 +216,19 @@ def _date_as(m: Column, key: str, form: str) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    other = F.when(m.contains("."), _date_as(m, key, "dd.MM.yyyy")).otherwise(_date_as(m, key, "MM/dd/yyyy"))
+    month_first = F.try_to_timestamp(m, F.lit("MM/dd/yyyy")).isNotNull()
+    slashes = F.when(month_first, _date_as(m, key, "MM/dd/yyyy")).otherwise(_date_as(m, key, "dd/MM/yyyy"))
+    other = F.when(m.contains("."), _date_as(m, key, "dd.MM.yyyy")).otherwise(slashes)
     return F.when(m.rlike(r"^\d{4}-"), _date_as(m, key, "yyyy-MM-dd")).otherwise(other)
 
 
 def _phone(m: Column, key: str) -> Column:
-    """The country code, the digits before the last ten at most, stays."""
+    """The country code, the digits before the last ten at most, stays, and so does a trunk zero."""
 
     def new(d):
         code = F.when(F.startswith(m, F.lit("+")), F.greatest(F.length(F.regexp_extract(m, r"^\+(\d{1,3})[ .(-]", 1)), F.length(d) - 10)).otherwise(0)
+        trunk = F.length(F.regexp_extract(m, r"^\+(\d{1,3}[ \u00a0\u202f.-]?\(0)\)", 1)) > 0
+        code = F.when(trunk, F.length(_digits(F.substring_index(m, ")", 1)))).when(m.rlike(r"^\(?0"), F.lit(1)).otherwise(code)
         return let(code, lambda k: let(permute_symbols(F.substr(d, k + 1, F.length(d)), key, "phone", (DIGITS,)), lambda n: _refilled(m, n, k)))
 
     return let(_digits(m), new)
@@ -197,8 +239,8 @@ def _ssn(m: Column, key: str) -> Column:
     return F.when(valid, let(permute_symbols(_digits(m), key, "ssn", (DIGITS,)), lambda n: _refilled(m, n, F.lit(0)))).otherwise(m)
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of one candidate; itself if it fails its rule."""
+def _value(m: Column, key: str) -> Column:
+    """The pseudonym of one value; itself if it fails its rule."""
 
     def whole(pattern):
         return m.rlike(f"^(?:{pattern})$")
@@ -219,6 +261,18 @@ def pseudonym(m: Column, key: str) -> Column:
     return reduce(lambda rest, r: F.when(*r).otherwise(rest), reversed(rules), permute_symbols(m, key, "secret", mixed))
 
 
+def pseudonym(m: Column, key: str) -> Column:
+    """The pseudonym of one candidate, what names and quotes a secret kept."""
+
+    def named(head):
+        quote = F.regexp_extract(F.substr(m, F.length(head) + 1, F.lit(1)), "[\"']", 0)
+        value = F.substr(m, F.length(head) + F.length(quote) + 1, F.length(m) - F.length(head) - 2 * F.length(quote))
+        new = let(value, lambda v: let(_value(v, key), lambda n: F.when((head != "") & (n == v), permute_symbols(v, key, "secret", (DIGITS, SMALL, CAPITAL))).otherwise(n)))
+        return F.concat(head, quote, new, quote)
+
+    return let(F.regexp_extract(m, f"^{_NAMED}", 0), lambda head: F.when(head == "", _value(m, key)).otherwise(named(head)))
+
+
 def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
     """The input's columns, `text` with pseudonyms, and n_replaced."""
     kept = [c for c in docs.columns if c not in ("text", "n_replaced")]
