@@ -21,6 +21,8 @@ table gives an empty result; other columns of the input are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -30,13 +32,19 @@ from . import arrays as A
 from .tables import keyed, order_id, read_table, shown_id, written
 
 SHINGLE = 5
-BANDS, ROWS = 25, 5  # a pair at 0.85 shares no band with probability 4e-7
+ROWS, MISS = 5, 4.5e-7  # a pair at the similarity asked for shares no band with this probability at most
 PIECE = 1 << 19
 _SIGMA, _PI = A.U(0xA24BAED4963EE407), A.U(0xE7037ED1A0B428DB)
 _SIGNATURES = "id long, text_hash long, n_shingles long, class binary, bands array<long>"
 _SETS = "class binary, shingles array<long>"
 
 
+def bands(percent: int) -> int:
+    """The fewest bands that miss a pair at `percent` with probability MISS at most (25 at 85)."""
+    at = (percent / 100) ** ROWS
+    return 1 if at >= 1 else math.ceil(math.log(MISS) / math.log1p(-at))
+
+
 def shingle_sets(column: pa.Array):
     """(first row, set offsets, distinct shingle hashes, sorted within each row) piece by piece."""
     for first, offsets, buf in A.pieces(column, PIECE):
@@ -61,7 +69,7 @@ def _pi(y: np.ndarray, spare: np.ndarray) -> np.ndarray:
     return y
 
 
-def signatures(offsets: np.ndarray, shingles: np.ndarray, size: int = BANDS * ROWS) -> np.ndarray:
+def signatures(offsets: np.ndarray, shingles: np.ndarray, size: int) -> np.ndarray:
     """size x rows: the smallest pi(sigma(x) + k) of each row's shingles, k = 0, 1, ..."""
     filled = np.flatnonzero(np.diff(offsets))
     out = np.zeros((size, len(offsets) - 1), dtype=np.uint64)
@@ -97,18 +105,21 @@ def _class_keys(offsets: np.ndarray, shingles: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * 16).astype(np.int32).tobytes()), pa.py_buffer(raw)])
 
 
-def _sign(batches):
-    for batch in batches:
-        for first, offsets, shingles in shingle_sets(batch.column("text")):
-            n = len(offsets) - 1
-            keys = band_keys(signatures(offsets, shingles))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id").slice(first, n), batch.column("text_hash").slice(first, n), pa.array(np.diff(offsets)),
-                    _class_keys(offsets, shingles), A.long_lists(keys.ravel(), np.arange(n + 1) * BANDS),
-                ],
-                ["id", "text_hash", "n_shingles", "class", "bands"],
-            )
+def _sign(n_bands: int):
+    def sign(batches):
+        for batch in batches:
+            for first, offsets, shingles in shingle_sets(batch.column("text")):
+                n = len(offsets) - 1
+                keys = band_keys(signatures(offsets, shingles, n_bands * ROWS))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").slice(first, n), batch.column("text_hash").slice(first, n), pa.array(np.diff(offsets)),
+                        _class_keys(offsets, shingles), A.long_lists(keys.ravel(), np.arange(n + 1) * n_bands),
+                    ],
+                    ["id", "text_hash", "n_shingles", "class", "bands"],
+                )
+
+    return sign
 
 
 def _sets(batches):
@@ -182,7 +193,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept; id and text_hash, which
     name its text, and group, which names its component (null without shingles)."""
     texts = keyed(docs)
-    signed = written(texts.mapInArrow(_sign, _SIGNATURES), "signatures")
+    signed = written(texts.mapInArrow(_sign(bands(percent)), _SIGNATURES), "signatures")
     classes = written(
         signed.filter("n_shingles > 0").groupBy("class").agg(F.min(F.struct("id", "text_hash", "n_shingles", "bands")).alias("m")).select("class", "m.*"), "classes"
     )

@@ -69,3 +69,32 @@ def test_signature_estimates_the_similarity():
     a, b = np.concatenate([both, rng.integers(1, 1 << 63, 50, dtype=np.uint64)]), np.concatenate([both, rng.integers(1, 1 << 63, 50, dtype=np.uint64)])
     s = M.signatures(np.array([0, 350, 700]), np.concatenate([a, b]), 2000)
     assert abs((s[:, 0] == s[:, 1]).mean() - 0.75) < 0.04
+
+
+def test_bands_bound_the_misses():
+    for percent in (70, 80, 85, 90, 95):
+        n = M.bands(percent)
+        assert (1 - (percent / 100) ** M.ROWS) ** n <= M.MISS < (1 - (percent / 100) ** M.ROWS) ** (n - 1)
+    assert M.bands(85) == 25
+
+
+def between_80_and_85(n=60):
+    """Pairs of texts whose similarity is from 0.80 to below 0.85."""
+    rng = random.Random(8)
+    docs = []
+    while len(docs) < 2 * n:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(124)]
+        other = list(own)
+        for i in rng.sample(range(10, 110, 12), 2):
+            other[i] = f"c{rng.randrange(10**6)}"
+        other += [f"t{rng.randrange(10**6)}" for _ in range(rng.choice([3, 6]))]
+        docs += [(len(docs), " ".join(own)), (len(docs) + 1, " ".join(other))]
+    return docs
+
+
+def test_at_80(spark):
+    docs = between_80_and_85()
+    df = spark.createDataFrame([(d, t, "x", 1) for d, t in docs], SCHEMA)
+    at_80 = brute(docs, 80)
+    assert len({c for _, _, c in at_80}) < len({c for _, _, c in brute(docs)}) == len(docs)
+    assert sorted(((False, r.doc_id), r.n_shingles, r.component_id) for r in M.near_duplicates(df, 80).collect()) == at_80
