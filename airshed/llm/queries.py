@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, hostrules, minhash, phrases, pieces, pseudonyms, suffix, toxicity, urlfilter, warc
+from . import centroids, decontaminate, hostrules, minhash, negatives, packing, phrases, pieces, pseudonyms, suffix, toxicity, urlfilter, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -19,6 +19,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": hostrules.op8_quality_rules,
     "op9_substring_dedup": phrases.op9_substring_dedup,
     "op10_pii_pseudonyms": pseudonyms.op10_pii_pseudonyms,
+    "op11_centroid_clusters": centroids.op11_centroid_clusters,
+    "op12_pack_powers_of_two": packing.op12_pack_powers_of_two,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
@@ -28,4 +31,6 @@ ORACLES: dict[str, str] = {
     "op7_url_filter": urlfilter.ORACLE,
     "op8_quality_rules": hostrules.ORACLE,
     "op9_substring_dedup": phrases.ORACLE,
+    "op11_centroid_clusters": centroids.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }

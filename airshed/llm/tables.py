@@ -26,7 +26,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove tables of written() that nothing reads any more."""
+    for table in tables:
+        path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
