@@ -11,11 +11,11 @@ It is one map: tokens leave Python as little-endian unsigned 32-bit bytes, one c
 piece, and nothing is shuffled. A sequence's number holds the number of its task and its
 place there, which are unique within one evaluation; write_buckets writes them down.
 
-Ids are those of the tokenizers library for the whole text. Byte-level BPE never merges across the
-segments of its own splitting pattern, so a worker asks the library for each distinct segment
-once and remembers up to CACHE of them; texts that hold one of the tokenizer's own special
-strings, and tokenizers with another way of splitting, are encoded whole. Memory: GROUP
-characters of text at a time (a longer text alone) and the remembered segments.
+Ids are those of the tokenizers library for the whole text and the given file. Where the
+file's merges allow it (_by_rank proves that on its vocabulary) the same file is run by
+tiktoken, which gives the same ids several times faster; texts that hold one of the file's
+special strings, and files of another kind, go through tokenizers itself. Memory: GROUP
+characters of text at a time, a longer text alone.
 
 A null or empty text has the one piece [END]; very long texts and segments are encoded
 whole; rows that repeat are packed each time; null and repeated doc_ids are passed on; an
@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import json
 import os
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,63 +39,61 @@ from .tables import read_table
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT, END = 1024, 0
 GROUP = 1 << 20  # characters of text encoded together
-CACHE, CACHED = 200_000, 64  # segments remembered by a worker, and the longest of them
 # fixed value: how byte-level BPE splits a text
 SEGMENTS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _PIECES = "doc_id {}, start long, length int, tokens binary, doc_tokens long, sequence_id long, offset int"
 
 
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+
+
+def _by_rank(definition: dict, library):
+    """tiktoken with the file's vocabulary, or None where its ids could differ. tiktoken joins the
+    neighbours whose joint token has the least id, tokenizers those of the first merge. If ids follow the
+    merges and every token by itself is encoded as itself, these are the same: two neighbours x, y
+    with a token xy were made by the merges that the text xy alone makes, which go on to xy."""
+    import tiktoken
+
+    model, split = definition["model"], definition.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space") and not definition.get("normalizer")
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")
+    if not plain or model.get("type", "BPE") != "BPE" or any(model.get(k) for k in odd):
+        return None
+    byte_of, vocabulary = _byte_of(), model["vocab"]
+    special = {t.content for t in library.get_added_tokens_decoder().values()}
+    tokens = {w: i for w, i in vocabulary.items() if w not in special}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    joined = [tokens.get(x + y, -1) for x, y in merges]
+    if joined != sorted(joined) or -1 in joined or not all(c in byte_of for w in tokens for c in w) or not all(c in tokens for c in byte_of):
+        return None
+    if any([t.value for t in library.model.tokenize(w)] != [w] for w in tokens):
+        return None
+    ranks = {bytes(byte_of[c] for c in w): i for w, i in tokens.items()}
+    return tiktoken.Encoding("packing", pat_str=SEGMENTS, mergeable_ranks=ranks, special_tokens={})
+
+
 class TokenIds:
-    """Ids of texts; remembers those of segments."""
+    """The tokenizers library's ids of whole texts, without its special tokens around them."""
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        import regex
         import tokenizers
 
-        self.tokenizer = tokenizers.Tokenizer.from_str(definition)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        made = json.loads(definition)
-        split = made.get("pre_tokenizer") or {}
-        plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
-        self.segments = regex.compile(SEGMENTS).findall if plain and not made.get("normalizer") else None
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}  # segment -> its place
-        self.at, self.size, self.store = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _whole(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, one after the other; where each begins, and the end)."""
-        whole = {i: self._whole(t) for i, t in enumerate(texts) if self.segments is None or any(s in t for s in self.special)}
-        split = [[] if i in whole else self.segments(t) for i, t in enumerate(texts)]
-        count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
-        place = np.fromiter(map(self.known.get, chain.from_iterable(split), repeat(-1)), dtype=np.int64, count=int(count.sum()))
-        missing = np.flatnonzero(place < 0)
-        if len(missing):
-            flat = list(chain.from_iterable(split))
-            unknown = [flat[i] for i in missing.tolist()]
-            new = list(dict.fromkeys(unknown))
-            found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-            size = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-            base = len(self.store)
-            self.store = np.concatenate([self.store, np.fromiter(chain.from_iterable(found), dtype=np.uint32, count=int(size.sum()))])
-            number = dict(zip(new, range(len(self.at), len(self.at) + len(new))))
-            self.at, self.size = np.concatenate([self.at, base + np.cumsum(size) - size]), np.concatenate([self.size, size])
-            self.known.update(number)
-            place[missing] = np.fromiter(map(number.__getitem__, unknown), dtype=np.int64, count=len(unknown))
-        size = self.size[place]
-        ids = self.store[np.repeat(self.at[place] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-        rows = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
-        if len(self.known) > CACHE or len(missing) and max(map(len, new)) > CACHED:
-            self._clear()
-        if whole:
-            parts = [np.array(whole[i], dtype=np.uint32) if i in whole else ids[rows[i] : rows[i + 1]] for i in range(len(texts))]
-            ids, rows = np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
-        return ids, rows
+        self.library = tokenizers.Tokenizer.from_str(definition)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.by_rank = _by_rank(json.loads(definition), self.library)
+
+    def encode(self, text: str) -> np.ndarray:
+        if self.by_rank is not None and not any(s in text for s in self.special):
+            try:
+                return self.by_rank.encode_to_numpy(text)
+            except ValueError:  # a run of spaces too long for its pattern matcher
+                pass
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
 
 
 def decomposition(n: int, limit: int = LIMIT) -> list[int]:
@@ -108,7 +106,7 @@ _WORKERS: dict[int, TokenIds] = {}
 
 
 def _token_ids(definition: str) -> TokenIds:
-    """The worker's own; the next task on it goes on with what is remembered."""
+    """The worker's own, which the next task on it finds again."""
     name = hash(definition)
     if name not in _WORKERS:
         _WORKERS.clear()
@@ -133,11 +131,12 @@ def _grouped(column: pa.Array):
 def _pack(definition, limit: int, end: int):
     def pack(batches):
         token_ids, task, number = _token_ids(definition.value), TaskContext.get().partitionId() << 33, 0
+        last = np.array([end], dtype=np.uint32)
         for batch in batches:
             for first, group in _grouped(batch.column("text")):
-                ids, rows = token_ids.encode(group)
-                ids = np.insert(ids, rows[1:], end).astype("<u4")
-                tokens = np.diff(rows) + 1
+                encoded = [token_ids.encode(text) for text in group]
+                tokens = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded)) + 1
+                ids = np.concatenate(list(chain.from_iterable((own, last) for own in encoded)), dtype="<u4")
                 cut = [decomposition(n, limit) for n in tokens.tolist()]
                 count = np.fromiter(map(len, cut), dtype=np.int64, count=len(cut))
                 length = np.fromiter(chain.from_iterable(cut), dtype=np.int64, count=int(count.sum()))
