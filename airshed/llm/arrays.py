@@ -7,6 +7,10 @@ polynomial over word hashes. Work is done in pieces of a bounded number of bytes
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -47,6 +51,33 @@ class _Powers:
 
 _POW = _Powers()
 
+_KEPT: dict[str, Callable[[], None]] = {}  # what a worker has kept for its stage, and how it goes
+_STAGE: list[str] = []
+
+
+def give_back() -> None:
+    """Memory that nothing holds any more goes back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def enter(stage: str, forget: Callable[[], None] | None = None) -> None:
+    """A task of `stage` begins on this worker: what another stage's tasks have kept (a model, a
+    cache, long tables of powers) goes. `forget` drops what this stage is going to keep."""
+    if _STAGE != [stage]:
+        for name in [n for n in _KEPT if n != stage]:
+            _KEPT.pop(name)()
+        _POW.__init__()
+        if _STAGE:
+            give_back()
+        _STAGE[:] = [stage]
+    if forget is not None:
+        _KEPT[stage] = forget
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that scatters them (in place)."""

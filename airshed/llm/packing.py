@@ -34,6 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import arrays as A
 from .tables import read_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -130,6 +131,7 @@ def _grouped(column: pa.Array):
 
 def _pack(definition, limit: int, end: int):
     def pack(batches):
+        A.enter("packing", _WORKERS.clear)
         token_ids, task, number = _token_ids(definition.value), TaskContext.get().partitionId() << 33, 0
         last = np.array([end], dtype=np.uint32)
         for batch in batches:

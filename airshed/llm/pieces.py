@@ -10,7 +10,7 @@ at its start if its piece can follow that encoding's last piece. For a BPE vocab
 "can follow" means that the merges of the two pieces' joint text end in exactly these two;
 then one edge at each position is left, and the path is the library's own encoding.
 Segments that begin with several spaces, where many pieces share one score, and any
-segment without a path, take the merges directly.
+segment without a path, take the merges directly, over a heap (n log n).
 
 Characters without a piece become their UTF-8 bytes' pieces. The vocabulary comes from a
 model file whose path is a parameter; the driver reads it once and sends the pieces (a
@@ -26,6 +26,7 @@ empty result; other columns of the input are ignored.
 from __future__ import annotations
 
 import re
+from heapq import heapify, heappop, heappush
 from itertools import chain, repeat
 
 import numpy as np
@@ -33,15 +34,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import arrays as A
 from .tables import read_table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-GROUP = 2 << 20  # bytes of text whose segments are indexed together
-CACHE = 300_000  # segments remembered by a Python worker
+GROUP = 1 << 19  # characters of text whose segments are indexed together
+CACHE = 200_000  # segments remembered by a Python worker
 CACHED = 64  # characters of the longest segment remembered
-INDEX = 400_000  # characters of segments in one suffix array, about
+INDEX = 1 << 17  # characters of segments in one suffix array, about
 PACK = 5  # symbols (of 12 bits) compared at once
-PAIRS = 1 << 21  # answers about pairs of pieces kept by a task
+PAIRS = 1 << 20  # answers about pairs of pieces kept by a task
+SHORT = 24  # characters; longer texts merge over a heap
 _NONE, _ROOT = -2, -1  # no encoding ends here; start of a segment
 
 
@@ -106,6 +109,9 @@ class Encoder:
 
     def merges(self, text: str) -> list[str]:
         """Plain BPE: the best-scored neighbours merge, the leftmost on ties."""
+        return self._few_merges(text) if len(text) <= SHORT else self._many_merges(text)
+
+    def _few_merges(self, text: str) -> list[str]:
         parts, pieces = list(text), self.v.pieces
         while len(parts) > 1:
             best, at = None, -1
@@ -118,6 +124,33 @@ class Encoder:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def _many_merges(self, text: str) -> list[str]:
+        """The same over a heap of possible merges and links between neighbours, n log n. A
+        part that has been merged only grows, so an entry still holds if its text does."""
+        parts: list[str | None] = list(text)
+        n, pieces = len(parts), self.v.pieces
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+
+        def entry(i):
+            joint = parts[i] + parts[after[i]]
+            found = pieces.get(joint)
+            return None if found is None else (-found[1], i, joint)
+
+        heap = [e for e in map(entry, range(n - 1)) if e is not None]
+        heapify(heap)
+        while heap:
+            _, i, joint = heappop(heap)
+            j = after[i]
+            if parts[i] is None or j >= n or parts[i] + parts[j] != joint:
+                continue
+            parts[i], parts[j], after[i] = joint, None, after[j]
+            if after[i] < n:
+                before[after[i]] = i
+            for k in (before[i], i):
+                if k >= 0 and after[k] < n and (e := entry(k)) is not None:
+                    heappush(heap, e)
+        return [p for p in parts if p is not None]
+
     def _spelled(self, parts: list[str]) -> list[int]:
         out = []
         for p in parts:
@@ -185,9 +218,11 @@ class Encoder:
                 bounds.append(a)
             lo[live], hi[live] = bounds
         times = np.maximum(hi - lo, 0)
-        piece = np.repeat(np.arange(len(self.ids)), times)
-        start = suffixes[np.repeat(lo - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))]
-        return start, start + self.lengths[piece], self.ids[piece]
+        piece = np.repeat(np.arange(len(self.ids), dtype=np.int32), times)
+        place = np.repeat((lo - (np.cumsum(times) - times)).astype(np.int32), times)
+        place += np.arange(len(place), dtype=np.int32)
+        start = suffixes.astype(np.int32)[place]
+        return start, start + self.lengths.astype(np.int32)[piece], self.ids.astype(np.int32)[piece]
 
     def learn(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids, their number) of the segments, one after the other. Edges are sorted by the
@@ -200,9 +235,10 @@ class Encoder:
         begins = np.cumsum(lengths + 1) - lengths - 1
         codes[begins[1:] - 1] = 0  # the separators, whatever characters the text has
         start, end, piece = self._edges(codes)
-        depth = end - np.repeat(begins, lengths + 1)[start]
-        order = np.argsort(depth, kind="stable")
+        depth = end - np.repeat(begins.astype(np.int32), lengths + 1)[start]
+        order = np.argsort(depth, kind="stable").astype(np.int32)
         start, end, piece = start[order], end[order], piece[order]
+        del order
         last, back = np.full(len(codes) + 1, _NONE, dtype=np.int64), np.zeros(len(codes) + 1, dtype=np.int64)
         last[begins] = _ROOT
         cuts = np.concatenate([[0], np.cumsum(np.bincount(depth))]) if len(depth) else [0]
@@ -314,6 +350,7 @@ def _encoder(vocabulary: Vocabulary) -> Encoder:
 
 def _encode(vocabulary, columns):
     def encode(batches):
+        A.enter("pieces", _ENCODERS.clear)
         encoder = _encoder(vocabulary.value)
         for batch in batches:
             for first, group in _grouped(batch.column("text"), GROUP):
@@ -326,47 +363,79 @@ def _encode(vocabulary, columns):
     return encode
 
 
+def _texts(v: Vocabulary, ids: np.ndarray, rows: np.ndarray, null: np.ndarray) -> pa.Array:
+    """The texts of id lists."""
+    size = v.sizes[ids]
+    out = v.flat[np.repeat(v.at[ids] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
+    ends = np.concatenate([[0], np.cumsum(size)])[rows].tolist()
+    return pa.array([None if no else out[a + 1 : b].decode(errors="replace") for a, b, no in zip(ends[:-1], ends[1:], null.tolist())], pa.string())
+
+
 def _decode(vocabulary, columns):
     def decode(batches):
+        A.enter("pieces", _ENCODERS.clear)
         v = vocabulary.value
         for batch in batches:
             for first in range(0, len(batch), 500):
                 part = batch.slice(first, 500)
                 lists = part.column("ids")
                 rows, ids = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)[lists.offsets[0].as_py() : lists.offsets[-1].as_py()]
-                size = v.sizes[ids]
-                out = v.flat[np.repeat(v.at[ids] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))].tobytes()
-                ends = np.concatenate([[0], np.cumsum(size)])[rows - rows[0]].tolist()
-                texts = [out[a + 1 : b].decode(errors="replace") if ok else None for a, b, ok in zip(ends[:-1], ends[1:], lists.is_valid().to_pylist())]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(texts, pa.string())], [*columns, "decoded"])
+                texts = _texts(v, ids, rows - rows[0], ~np.array(lists.is_valid()))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), texts], [*columns, "decoded"])
 
     return decode
 
 
-def _schema(df: DataFrame, added: str):
+def _both_ways(vocabulary, columns):
+    """Encoded and, from the ids, decoded again, in one worker."""
+
+    def both(batches):
+        A.enter("pieces", _ENCODERS.clear)
+        v = vocabulary.value
+        encoder = _encoder(v)
+        for batch in batches:
+            for first, group in _grouped(batch.column("text"), GROUP):
+                part = batch.slice(first, len(group))
+                ids, rows = encoder.encode(group)
+                null = np.array([t is None for t in group])
+                lists = pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), pa.array(ids), mask=pa.array(null))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), lists, _texts(v, ids, rows, null)], [*columns, "ids", "decoded"])
+
+    return both
+
+
+def _schema(df: DataFrame, *added: str):
     from pyspark.sql import types as T
 
-    kind = {"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()}[added]
-    return T.StructType([*(f for f in df.schema.fields if f.name != added), T.StructField(added, kind)])
+    kind = {"ids": T.ArrayType(T.IntegerType()), "decoded": T.StringType()}
+    return T.StructType([*(f for f in df.schema.fields if f.name not in added), *(T.StructField(c, kind[c]) for c in added)])
+
+
+def _shared(df: DataFrame, model: str):
+    return df.sparkSession.sparkContext.broadcast(Vocabulary.read(model))
 
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """The input's columns and `ids`, the pieces of `text`."""
-    vocabulary = docs.sparkSession.sparkContext.broadcast(Vocabulary.read(model))
     docs = docs.drop("ids")
-    return docs.mapInArrow(_encode(vocabulary, docs.columns), _schema(docs, "ids"))
+    return docs.mapInArrow(_encode(_shared(docs, model), docs.columns), _schema(docs, "ids"))
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """The input's columns and `decoded`, the text of `ids`."""
-    vocabulary = encoded.sparkSession.sparkContext.broadcast(Vocabulary.read(model))
     encoded = encoded.drop("decoded")
-    return encoded.mapInArrow(_decode(vocabulary, encoded.columns), _schema(encoded, "decoded"))
+    return encoded.mapInArrow(_decode(_shared(encoded, model), encoded.columns), _schema(encoded, "decoded"))
+
+
+def both_ways(docs: DataFrame, model: str = MODEL) -> DataFrame:
+    """decode(encode(docs)) in one pass."""
+    docs = docs.drop("ids", "decoded")
+    return docs.mapInArrow(_both_ways(_shared(docs, model), docs.columns), _schema(docs, "ids", "decoded"))
 
 
 def round_trip(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, text, ids, decoded."""
-    return decode(encode(docs.select("doc_id", F.col("text").cast("string").alias("text")), model), model)
+    return both_ways(docs.select("doc_id", F.col("text").cast("string").alias("text")), model)
 
 
 def op2_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

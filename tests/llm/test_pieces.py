@@ -41,8 +41,30 @@ def test_small_cache_and_groups_change_nothing(spark, monkeypatch):
 def test_nulls_repeats_empty_table_and_clashing_columns(spark):
     docs = spark.createDataFrame([(1, None, 5, "q"), (None, "a b", 6, "q"), (1, "a b", 7, "r"), (2, "", 8, "s")], "doc_id long, text string, ids long, decoded string")
     rows = pieces.decode(pieces.encode(docs)).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, pieces.both_ways(docs).collect()))
     sp = library(["a b"])[0]
     assert sorted((str(r.doc_id), r.ids, r.decoded) for r in rows if r.text) == [("1", sp, "a b"), ("None", sp, "a b")]
     assert [(r.ids, r.decoded) for r in rows if r.text is None] == [(None, None)]
     assert [(r.ids, r.decoded) for r in rows if r.text == ""] == [([], "")]
     assert pieces.round_trip(docs.limit(0)).count() == 0
+
+
+def test_long_runs_merge_in_n_log_n():
+    import time
+
+    encoder = pieces.Encoder(pieces.Vocabulary.read(pieces.MODEL))
+    for text in (" " * 200_000, " " * 199_999 + "x", "  " + "=" * 50_000, "a  b" * 20_000, "ab" * 30_000):
+        began = time.time()
+        ids, rows = encoder.encode([text])
+        assert time.time() - began < 30
+        assert ids.tolist() == library([text])[0]
+
+
+def test_heap_and_plain_merges_agree():
+    import random
+
+    encoder = pieces.Encoder(pieces.Vocabulary.read(pieces.MODEL))
+    rnd = random.Random(4)
+    for _ in range(400):
+        text = "".join(rnd.choice(" aetn=-.él1") for _ in range(rnd.randrange(1, 60)))
+        assert encoder._many_merges(text) == encoder._few_merges(text)
