@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import arrays as A
-from .tables import keyed, order_id, read_table, shown_id, written
+from .tables import keyed, order_id, read_table, shown_id, tidy, written
 
 SHINGLE = 5
 ROWS, MISS = 5, 4.5e-7  # a pair at the similarity asked for shares no band with this probability at most
@@ -107,6 +107,7 @@ def _class_keys(offsets: np.ndarray, shingles: np.ndarray) -> pa.Array:
 
 def _sign(n_bands: int):
     def sign(batches):
+        A.enter("minhash")
         for batch in batches:
             for first, offsets, shingles in shingle_sets(batch.column("text")):
                 n = len(offsets) - 1
@@ -192,6 +193,13 @@ def _unsettled(members: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept; id and text_hash, which
     name its text, and group, which names its component (null without shingles)."""
+    with tidy() as made:
+        out = written(_verdicts(docs, percent), "verdicts")
+        made.remove(out)
+    return out
+
+
+def _verdicts(docs: DataFrame, percent: int) -> DataFrame:
     texts = keyed(docs)
     signed = written(texts.mapInArrow(_sign(bands(percent)), _SIGNATURES), "signatures")
     classes = written(

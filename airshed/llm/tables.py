@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 import numpy as np
@@ -13,6 +15,7 @@ from airshed.session import scratch_path
 
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 NULL_IDS = 1 << 62  # ids from here on stand for null ids
+_OPEN: list[list[DataFrame]] = []  # tables written in the tidy() blocks that are open
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -28,6 +31,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
         spark.conf.unset(CLEAN_UP) if before is None else spark.conf.set(CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
+    if _OPEN:
+        _OPEN[-1].append(out)
     return out
 
 
@@ -38,6 +43,18 @@ def drop(*tables: DataFrame) -> None:
         path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def tidy() -> Iterator[list[DataFrame]]:
+    """Tables written inside are removed at the end, but for those taken out of the list."""
+    made: list[DataFrame] = []
+    _OPEN.append(made)
+    try:
+        yield made
+    finally:
+        _OPEN.remove(made)
+        drop(*made)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
