@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import arrays as A
 from .tables import keyed, order_id, read_table, shown_id, written
@@ -149,6 +150,7 @@ def _compile(items: list[tuple[str | None, str]], window: int):
 
 def _stream(shard):
     def stream(batches):
+        A.enter("decontaminate")
         known, automaton, shortest = shard.value
         for batch in batches:
             for first, offsets, buf in A.pieces(batch.column("text")):
@@ -229,32 +231,31 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, percent: int = 5, windo
     return found.select(shown_id().alias("doc_id"), "n_words", "n_hit", "spans", "items", bad.alias("contaminated"), "id", "text_hash")
 
 
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, percent: int = 5, window: int = WINDOW) -> DataFrame:
-    """The input's rows without the contaminated documents."""
-    bad = decontaminate(docs, benchmark, percent, window).filter("contaminated").select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"))
+def cut(text: pa.Array, spans: pa.Array) -> pa.Array:
+    """The texts without the words of the spans; what stands between spans stays as it is."""
+    kept = []
+    for own, found in zip(text, spans.to_pylist()):
+        own = own.as_py()
+        if own is not None and found:
+            raw = own.encode()
+            starts, ends, _ = A.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), A.NOT_ALNUM)
+            edges = [0, *(x for s in found for x in (int(starts[s["lo"]]), int(ends[s["hi"] - 1]))), len(raw)]
+            own = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
+        kept.append(own)
+    return pa.array(kept, pa.string())
+
+
+def without_contamination(docs: DataFrame, benchmark: DataFrame, percent: int = 5, window: int = WINDOW) -> DataFrame:
+    """The input's rows and columns without the contaminated documents, and without the hit
+    spans of the others; documents without a hit stay as they are."""
+    judged = decontaminate(docs, benchmark, percent, window).filter("n_hit > 0")
+    hit = judged.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("spans").alias("__spans"), F.col("contaminated").alias("__bad"))
+    hit = written(hit.dropDuplicates(["__id", "__hash"]), "hits")  # the documents are streamed once
     named = docs.withColumns({"__id": order_id(), "__hash": F.xxhash64(F.col("text"))})
-    return named.join(bad, ["__id", "__hash"], "left_anti").select(*docs.columns)
-
-
-def _without(batches):
-    for batch in batches:
-        kept = []
-        for text, spans in zip(batch.column("text"), batch.column("spans").to_pylist()):
-            text = text.as_py()
-            if spans:
-                raw = text.encode()
-                starts, ends, _ = A.words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), A.NOT_ALNUM)
-                edges = [0, *(x for s in spans for x in (int(starts[s["lo"]]), int(ends[s["hi"] - 1]))), len(raw)]
-                text = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
-            kept.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept, pa.string()), batch.column("contaminated")], ["doc_id", "text", "contaminated"])
-
-
-def remove_spans(docs: DataFrame, benchmark: DataFrame, percent: int = 5, window: int = WINDOW) -> DataFrame:
-    """doc_id and text without the hit spans; contaminated documents are left out whole."""
-    judged = decontaminate(docs, benchmark, percent, window).filter("not contaminated").select("id", "text_hash", "doc_id", "spans", "contaminated")
-    texts = keyed(docs).dropDuplicates(["id", "text_hash"])
-    return judged.join(texts, ["id", "text_hash"]).select("doc_id", "text", "spans", "contaminated").mapInArrow(_without, "doc_id long, text string, contaminated boolean").drop("contaminated")
+    left = named.join(hit, ["__id", "__hash"], "left").filter("__bad is null or not __bad")
+    clean, rest = left.filter("__bad is null").select(*docs.columns), left.filter("__bad is not null")
+    shorter = F.arrow_udf(cut, T.StringType())(F.col("text").cast("string"), F.col("__spans"))
+    return clean.union(rest.withColumn("text", shorter.cast(docs.schema["text"].dataType)).select(*docs.columns))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,9 +55,10 @@ def test_spans_are_cut_and_odd_tables(spark):
     item = " ".join(f"w{i}" for i in range(15))
     docs = spark.createDataFrame([(1, "X, " * 600 + item + "! y", "x", 1), (2, item, "x", 1), (None, "x " + item, "x", 1), (3, "clean", "x", 1), (3, "clean", "x", 1)], SCHEMA)
     bench = spark.createDataFrame([(9, item)], "item_id long, text string")
-    got = sorted((r.doc_id, r.text) for r in D.remove_spans(docs, bench).collect())
-    assert got == [(1, "X, " * 600 + "! y"), (3, "clean"), (3, "clean")]
-    assert sorted(r.doc_id for r in D.without_contaminated(docs, bench).collect()) == [1, 3, 3]
+    rows = D.without_contamination(docs, bench).collect()
+    assert sorted((r.doc_id, r.text) for r in rows) == [(1, "X, " * 600 + "! y"), (3, "clean"), (3, "clean")]
+    assert {(r["items"], r.spans) for r in rows} == {("x", 1)}  # the input's own columns
+    assert D.without_contamination(docs.limit(0), bench).count() == 0 and D.without_contamination(docs, bench.limit(0)).count() == 5
     assert D.decontaminate(docs.limit(0), bench).count() == 0
     none = D.decontaminate(docs, bench.limit(0)).collect()
     assert len(none) == 5 and not any(r.contaminated or r.n_hit for r in none)
