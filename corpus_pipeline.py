@@ -1,9 +1,10 @@
 """A training corpus from raw documents: five stages, each written and read again.
 
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the
-columns of docs. Toxic documents go, then near duplicates but for one of each group, then
-documents contaminated by the benchmark; personal data becomes pseudonyms; at the end
-each text is encoded to pieces and decoded again. Clean documents are kept unchanged.
+columns of docs. Toxic documents go, then near duplicates (80 % of five-word shingles) but
+for one of each group, then documents contaminated by the benchmark, and the benchmark's
+passages from the others; personal data becomes pseudonyms; at the end each text is encoded
+to pieces and decoded again. Clean documents are kept unchanged.
 
 Nulls, empty and repeated rows, and an empty table are treated as each operator says;
 columns whose names clash with a column that an operator adds come through.
@@ -15,7 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.llm import decontaminate, minhash, pieces, pseudonyms, toxicity
-from airshed.llm.tables import read_table, written
+from airshed.llm.tables import drop, read_table, written
+
+SIMILARITY = 80  # percent, of near duplicates
 
 
 def _beside(docs: DataFrame, name: str, step) -> DataFrame:
@@ -25,27 +28,31 @@ def _beside(docs: DataFrame, name: str, step) -> DataFrame:
     return step(docs.withColumnRenamed(name, f"own {name}")).drop(name).withColumnRenamed(f"own {name}", name).select(*docs.columns)
 
 
+def _counted(docs: DataFrame, out: DataFrame) -> DataFrame:
+    """n_chars as the text now has them, in the column's own type."""
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+
+
 def remove_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
     return _beside(docs, "score", lambda d: toxicity.score(d, model).filter(F.col("score") < toxicity.CUT))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash.without_near_duplicates(docs)
+    return minhash.without_near_duplicates(docs, percent=SIMILARITY)
 
 
 def remove_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+    return _counted(docs, decontaminate.without_contamination(docs, read_table(spark, sf_dir, "benchmark")))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = _beside(docs, "n_replaced", pseudonyms.pseudonymise)
-    return out.withColumn("n_chars", F.length("text").cast(out.schema["n_chars"].dataType)) if "n_chars" in out.columns else out
+    return _counted(docs, _beside(docs, "n_replaced", pseudonyms.pseudonymise))
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """docs' columns, ids and round_trip (the ids decode to the text)."""
-    out = pieces.decode(pieces.encode(docs))
+    out = pieces.both_ways(docs)
     same = F.col("decoded").eqNullSafe(F.replace(F.col("text").cast("string"), F.lit("▁"), F.lit(" ")))
     return out.withColumn("round_trip", same).drop("decoded")
 
@@ -58,12 +65,15 @@ STAGES = [
     ("sentencepiece", encode_pieces),
 ]
 
-ORACLE_SQL = None  # no SQL for the classifier; tests/llm/test_pipeline.py compares with brute force
+ORACLE_SQL = None  # no SQL for the classifier; tests/llm/test_corpus_pipeline.py compares with brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table documents."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            drop(before)
+        before = docs
     return docs
