@@ -30,6 +30,13 @@ def time_parts(dt: Column | str, prefix: str = "measurement") -> list[Column]:
     ]
 
 
+def utc_date(ts: Column | str) -> Column:
+    """The UTC day of an instant, whatever the session zone; NULL stays NULL."""
+    micros = F.unix_micros(F.col(ts) if isinstance(ts, str) else ts)
+    day = F.lit(SECONDS_PER_DAY * 1_000_000)
+    return F.date_from_unix_date(((micros - F.pmod(micros, day)) / day).cast("int"))
+
+
 def ts_text(ts: Column | str) -> Column:
     """A UTC instant as the warehouse prints it: 'YYYY-MM-DD HH:MM:SS+00'."""
     c = F.col(ts) if isinstance(ts, str) else ts

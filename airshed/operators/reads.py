@@ -8,10 +8,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-BINS = 4096  # of the newest-first cut
-
 
 
 def _published_orders() -> dict[str, tuple[list, list]]:
@@ -57,36 +53,12 @@ def newest_first(df: DataFrame, order: str, limit: int | None = None, tie: Seque
     """Rows newest first by `order`, ties by the `tie` columns, NULL orders last; all
     of them, or the first `limit`. Without `tie` the rows at the cut are any of equals.
 
-    All rows: a range-partitioned sort. With a limit, a plain orderBy + limit sends up to
-    `limit` rows from every scan task to one reducer. Here the rows are counted per value
-    in at most BINS bins between the least and the greatest value (combines map-side), and
-    only rows from the oldest bin still needed on reach the final top-k; NULL orders
-    take part while fewer rows than `limit` have a value. The rows are a full sort's.
+    All rows: a range-partitioned sort. With a limit: each task keeps its own first `limit` rows and one
+    merges these. Over a written mart, raw.read_mart first leaves out the partitions that cannot
+    be among them, so that few tasks have rows at all.
     """
-    if limit is None:
-        return df.orderBy(F.col(order).desc_nulls_last(), *tie)
-    kind = df.schema[order].dataType
-    if isinstance(kind, T.DateType):
-        place = F.unix_date(order).cast("double")
-    elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        place = F.unix_micros(F.col(order).cast("timestamp")).cast("double")
-    elif isinstance(kind, T.NumericType):
-        place = F.col(order).cast("double")
-    else:  # no bins for text: the top-k alone
-        return df.orderBy(F.col(order).desc_nulls_last(), *tie).limit(limit)
-    ends = df.agg(F.min(place).alias("lo"), F.max(place).alias("hi")).first()
-    if ends["lo"] is None:
-        return df.orderBy(*tie).limit(limit) if tie else df.limit(limit)
-    width = max((ends["hi"] - ends["lo"]) / BINS, 1e-9)
-    bin_ = F.floor((place - F.lit(ends["lo"])) / F.lit(width))
-    counts = df.filter(F.col(order).isNotNull()).groupBy(bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("bin").desc()).collect()  # at most BINS + 1 rows
-    newer, cut = 0, None
-    for r in counts:
-        cut, newer = r["bin"], newer + r["n"]
-        if newer >= limit:
-            break
-    kept = df.filter(bin_ >= cut) if newer >= limit else df
-    return kept.orderBy(F.col(order).desc_nulls_last(), *tie).limit(limit)
+    out = df.orderBy(F.col(order).desc_nulls_last(), *tie)
+    return out if limit is None else out.limit(limit)
 
 
 def preview(df: DataFrame, n: int) -> DataFrame:

@@ -6,6 +6,7 @@ no shuffle and its filter reaches the scan.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -50,15 +51,18 @@ def dedupe_latest(df: DataFrame) -> DataFrame:
     )
 
 
-def union_feeds(*feeds: DataFrame) -> DataFrame:
+def union_feeds(*feeds: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """UNION ALL of any number of raw feeds (one per country glob in the reference)."""
     if not feeds:
         raise ValueError("at least one feed is needed")
-    return reduce(lambda a, b: a.unionByName(b), [f.select(*RAW_COLUMNS) for f in feeds])
+    return reduce(lambda a, b: a.unionByName(b), [f.select(*RAW_COLUMNS, *carry) for f in feeds])
 
 
-def _stage(df: DataFrame, data_type: str, prefix: str, keep_incomplete: bool, dedupe: bool) -> DataFrame:
+def _stage(df: DataFrame, data_type: str, prefix: str, keep_incomplete: bool, dedupe: bool, carry: Sequence[str] = ()) -> DataFrame:
+    """`carry`: further columns of the feed that come along, last."""
     if dedupe:
+        if carry:
+            raise ValueError("copies are merged: no column of theirs can be carried")
         df = dedupe_latest(df)
     if not keep_incomplete:
         df = drop_incomplete(df)
@@ -74,27 +78,29 @@ def _stage(df: DataFrame, data_type: str, prefix: str, keep_incomplete: bool, de
         F.lit(data_type).alias("data_type"),
         dq_flag().alias("is_data_quality_issue"),
         *time_parts("dt", prefix),
+        *carry,
     )
 
 
-def stage_historical(*feeds: DataFrame, keep_incomplete: bool = False, dedupe: bool = False) -> DataFrame:
+def stage_historical(*feeds: DataFrame, keep_incomplete: bool = False, dedupe: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """stg_historical: the union of the historical feeds, staged."""
-    return _stage(union_feeds(*feeds), "historical", "measurement", keep_incomplete, dedupe)
+    return _stage(union_feeds(*feeds, carry=carry), "historical", "measurement", keep_incomplete, dedupe, carry)
 
 
-def stage_current(feed: DataFrame, keep_incomplete: bool = False, dedupe: bool = False) -> DataFrame:
+def stage_current(feed: DataFrame, keep_incomplete: bool = False, dedupe: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """stg_current."""
-    return _stage(feed, "current", "measurement", keep_incomplete, dedupe)
+    return _stage(feed, "current", "measurement", keep_incomplete, dedupe, carry)
 
 
-def stage_forecast(feed: DataFrame, keep_incomplete: bool = False, dedupe: bool = False) -> DataFrame:
+def stage_forecast(feed: DataFrame, keep_incomplete: bool = False, dedupe: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """stg_forecast: as current with forecast_ names, plus creation date and hours_ahead.
 
     hours_ahead is an INTERVAL (forecast instant - ingestion instant), as published.
     """
-    df = _stage(feed, "forecast", "forecast", keep_incomplete, dedupe)
+    df = _stage(feed, "forecast", "forecast", keep_incomplete, dedupe, carry)
     return df.select(
-        "*",
+        *[c for c in df.columns if c not in carry],
         F.to_date("ingestion_timestamp").alias("forecast_created_date"),
         (F.col("forecast_datetime") - F.col("ingestion_timestamp")).alias("hours_ahead"),
+        *carry,
     )

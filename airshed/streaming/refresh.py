@@ -19,18 +19,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from airshed.operators import staging
+from airshed.sinks import commits
 from airshed.sources.schema import RAW, RAW_COLUMNS
 from airshed.session import scratch_path, use_utc
 
 STAGERS = {"current": staging.stage_current, "forecast": staging.stage_forecast}
 
 
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _remove_folder(spark: SparkSession, root: str, country: str | None, day) -> None:
-    jvm = spark.sparkContext._jvm
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    name = "__HIVE_DEFAULT_PARTITION__" if country is None else escape(country)
-    path = jvm.org.apache.hadoop.fs.Path(f"{root}/country={name}/ingest_date={day}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    name = NO_VALUE if country is None else escape(country)
+    commits.delete(spark, f"{root}/country={name}/ingest_date={NO_VALUE if day is None else day}")
 
 
 def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path: str, checkpoint: str | None = None, max_files: int = 1000):
@@ -42,7 +44,7 @@ def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path:
         tag = hashlib.sha1(f"{landing_root}|{out_path}".encode()).hexdigest()[:12]
         checkpoint = scratch_path(spark, f"refresh-{kind}-{tag}")
     stage = STAGERS[kind]
-    schema = T.StructType(RAW.fields + [T.StructField("ingest_date", T.DateType(), True)])
+    schema = T.StructType(RAW.fields + [T.StructField("ingest_date", T.DateType(), True), T.StructField("run", T.StringType(), True)])
     src = (
         spark.readStream.schema(schema)
         .option("mode", "FAILFAST")
@@ -58,14 +60,13 @@ def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path:
         # (idempotent). The files are listed here, after the batch was planned, so none
         # that the batch knows of can be missing. The folders of a batch are at most its
         # files (maxFilesPerTrigger); as literals they prune the scan to those folders.
-        days: dict[str | None, list] = {}
-        for r in batch.select("country", "ingest_date").distinct().collect():
-            days.setdefault(r["country"], []).append(r["ingest_date"])
-        if not days:
+        # A record without an ingestion time lies in the null day, which no equality matches.
+        folders = {(r["country"], r["ingest_date"]) for r in batch.select("country", "ingest_date").distinct().collect()}
+        if not folders:
             return
-        touched = reduce(lambda x, y: x | y, (F.col("country").eqNullSafe(F.lit(c)) & F.col("ingest_date").isin(d) for c, d in days.items()))
+        touched = reduce(lambda x, y: x | y, (F.col("country").eqNullSafe(F.lit(c)) & F.col("ingest_date").eqNullSafe(F.lit(d).cast("date")) for c, d in folders))
         landed = spark.read.schema(schema).option("mode", "FAILFAST").option("allowNonNumericNumbers", "false").json(os.path.join(landing_root, kind))
-        staged = stage(landed.filter(touched).select(*RAW_COLUMNS)).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
+        staged = stage(landed.filter(touched).select(*RAW_COLUMNS, "ingest_date"), carry=["ingest_date"])  # the folder's own day
         (
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -74,10 +75,8 @@ def refresh_staged(spark: SparkSession, landing_root: str, kind: str, out_path:
         )
         # a touched day without a row left has no folder to overwrite: remove the old one
         filled = {(r["country"], r["ingest_date"]) for r in staged.select("country", "ingest_date").distinct().collect()}
-        for country, dates in days.items():
-            for d in dates:
-                if (country, d) not in filled:
-                    _remove_folder(spark, out_path, country, d)
+        for country, day in folders - filled:
+            _remove_folder(spark, out_path, country, day)
 
     q = (
         src.writeStream.foreachBatch(write_batch)
