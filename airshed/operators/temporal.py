@@ -136,7 +136,11 @@ def temporal_patterns(unified: DataFrame) -> DataFrame:
     country, city). The raw history is scanned and shuffled once; every later step
     works on at most a few hundred rows per city.
     """
-    cells = temporal_cells(unified)
+    return patterns_of(temporal_cells(unified))
+
+
+def patterns_of(cells: DataFrame) -> DataFrame:
+    """temporal_patterns from the cells (A4)."""
     season_set = ["country", "city", "season", "measurement_year"]
     hour_set = ["country", "city", "measurement_hour", "time_of_day"]
     dow_set = ["country", "city", "measurement_day_of_week"]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ BASE_COLUMNS = (
 CLASS_COLUMNS = ["aqi_category", "aqi_category_code", "health_impact_level", "primary_pollutant", "pollution_level", "time_of_day"]
 
 
-def _align(df: DataFrame, prefix: str) -> DataFrame:
+def _align(df: DataFrame, prefix: str, carry: Sequence[str] = ()) -> DataFrame:
     """The staged columns under the unified names."""
     return df.select(
         "ingestion_timestamp",
@@ -35,6 +37,7 @@ def _align(df: DataFrame, prefix: str) -> DataFrame:
         "data_type",
         "is_data_quality_issue",
         *[F.col(f"{prefix}_{p}").alias(f"measurement_{p}") for p in PARTS],
+        *carry,
     )
 
 
@@ -53,15 +56,15 @@ def classify(df: DataFrame, fix_night: bool = False) -> DataFrame:
     return out.select(*df.columns, *CLASS_COLUMNS)
 
 
-def unify(historical: DataFrame, current: DataFrame, forecast: DataFrame, fix_night: bool = False) -> DataFrame:
-    """UNION ALL of the three staged feeds, then the classes.
+def unify(historical: DataFrame, current: DataFrame, forecast: DataFrame, fix_night: bool = False, carry: Sequence[str] = ()) -> DataFrame:
+    """UNION ALL of the three staged feeds, then the classes; `carry`: further staged columns.
 
     A later filter on data_type prunes the other union branches at plan time, so a
     historical-only mart never scans the current or forecast feed.
     """
     u = (
-        _align(historical, "measurement")
-        .unionByName(_align(current, "measurement"))
-        .unionByName(_align(forecast, "forecast"))
+        _align(historical, "measurement", carry)
+        .unionByName(_align(current, "measurement", carry))
+        .unionByName(_align(forecast, "forecast", carry))
     )
     return classify(u, fix_night)

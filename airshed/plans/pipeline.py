@@ -2,8 +2,10 @@
 
 Each step is a Spark job; tables are written under `out_root` and read back by
 later layers, so lineage is cut at every written model and a lost executor only
-recomputes from the last written table. The run stops at the first failure and
-reports a step summary; the CLI exits non-zero on failure.
+recomputes from the last written table. A table's new version is committed when it is
+whole; until then readers have the last one. The run stops at the first failure and
+reports a step summary; the CLI exits non-zero on failure. `--refresh` rebuilds only what new
+landed files change (refresh_tables).
 """
 
 from __future__ import annotations
@@ -17,10 +19,11 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 
 from airshed.operators import quality
-from airshed.plans.models import LAYERS, MODELS, Context
+from airshed.plans import lineage
+from airshed.plans.models import LAYERS, MODELS, UNIFIED, Context, Model
 from airshed.session import build_session, use_utc
-from airshed.sinks.publish import publish, publish_view
-from airshed.sources import raw
+from airshed.sinks import commits
+from airshed.sinks.publish import commit, publish_view, read_published, write_version
 
 
 @dataclass
@@ -73,8 +76,8 @@ def run_pipeline(
                     steps.append(Step(name, True, "view"))
                 else:
                     path = os.path.join(out_root, name)
-                    publish(df, path=path, partition_by=model.partition_by, cluster_by=model.cluster_by)
-                    ctx.frames[name] = spark.read.parquet(path)
+                    build_table(ctx, model, df, path)
+                    ctx.frames[name] = read_published(spark, path)
                     publish_view(ctx.frames[name], name)
                     steps.append(Step(name, True, f"table {path}"))
         except Exception as e:  # noqa: BLE001 - the runner reports and stops
@@ -84,6 +87,18 @@ def run_pipeline(
     return steps
 
 
+def build_table(ctx: Context, model: Model, df, path: str, replace: Iterable[str] | None = None) -> None:
+    """Write and commit a new version of a model's table; `replace`: of these partitions only. The record
+    holds what it was built from: the files and options, and the state of the unified table."""
+    draft = write_version(df, path, model.partition_by, model.cluster_by)
+    more = {"fingerprint": ctx.fingerprint(model.name)}
+    if model.name == UNIFIED:
+        more |= lineage.write(ctx, draft, path, replace)
+    else:
+        more["unified"] = (commits.latest(ctx.spark, os.path.join(ctx.written, UNIFIED)) or (0, {}))[0]
+    commit(ctx.spark, draft, replace, **more)
+
+
 def summary(steps: list[Step], total: int) -> str:
     lines = [f"{'ok ' if s.ok else 'FAIL'} {s.name}: {s.detail}" for s in steps]
     lines.append(f"{sum(s.ok for s in steps)} of {total} steps done")
@@ -96,10 +111,16 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--out", required=True, help="output root for written models")
     p.add_argument("--select", nargs="*", help="layers or model names (default: all, then tests)")
     p.add_argument("--as-of", default=None, help="forecast evaluation day (default: today)")
+    p.add_argument("--refresh", action="store_true", help="rebuild only what landed files have changed")
     a = p.parse_args(argv)
     spark = build_session(app="airshed-pipeline")
-    ctx = Context(spark, [raw.read_historical(spark, a.raw)], raw.read_current(spark, a.raw),
-                  raw.read_forecast(spark, a.raw), as_of=a.as_of)
+    ctx = Context.from_landing(spark, a.raw, as_of=a.as_of)
+    if a.refresh:
+        from airshed.plans.refresh import refresh_tables
+
+        steps = refresh_tables(spark, ctx, a.out)
+        print(summary(steps, len(steps)))
+        return 0 if all(s.ok for s in steps) else 1
     steps = run_pipeline(spark, ctx, a.out, a.select)
     print(summary(steps, len(_selected(a.select))))
     return 0 if all(s.ok for s in steps) and len(steps) == len(_selected(a.select)) else 1

@@ -16,7 +16,7 @@ from conftest import SF_SMALL
 @pytest.fixture(scope="module")
 def landed(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("landing"))
-    landing.land_historical(testdata.historical_feed(spark, SF_SMALL), root)
+    landing.land_historical(testdata.historical_feed(spark, SF_SMALL), root, 788_918_400, 1_009_843_200, chunk_days=366)
     landing.land_current(testdata.current_feed(spark, SF_SMALL), root)
     landing.land_forecast(testdata.forecast_feed(spark, SF_SMALL), root)
     return root
@@ -33,7 +33,7 @@ def test_full_run_stops_at_failing_checks(spark, landed, tmp_path):
     assert [s.name for s in steps][-1] == "tests"
     assert all(s.ok for s in steps[:-1]) and not steps[-1].ok  # the synthetic feed has out-of-range rows
     assert "check_aqi_range" in steps[-1].detail
-    fct = spark.read.parquet(os.path.join(out, "fct_daily_air_quality_summary"))
+    fct = raw.read_mart(spark, os.path.join(out, "fct_daily_air_quality_summary"))
     assert fct.count() == 2003  # FIXTURES: daily groups at sf0.001
     staged = spark.table("stg_air_quality_historical").count()
     assert staged == 1479
@@ -146,6 +146,60 @@ def test_marts_after_a_full_run_read_no_raw_json(spark, landed, tmp_path):
     assert all(s.ok for s in steps) and len(steps) == 5
 
 
+def test_tables_built_otherwise_are_not_taken(spark, landed, tmp_path):
+    from airshed.plans.models import StaleTable
+    from airshed.sinks import commits
+
+    out = str(tmp_path)
+    pipeline.run_pipeline(spark, _ctx(spark, landed), out, select=["staging", "intermediate"])
+    record = commits.latest(spark, os.path.join(out, "int_air_quality_daily_summary"))[1]
+    assert record["fingerprint"]["keep_incomplete"] == "False" and record["fingerprint"]["files of current"]
+    for changed in ({"keep_incomplete": True}, {"dedupe": True}, {"fix_night": True}):
+        ctx = _ctx(spark, landed)
+        ctx.written = out
+        for k, v in changed.items():
+            setattr(ctx, k, v)
+        text = ctx.ref("int_air_quality_daily_summary")._jdf.queryExecution().analyzed().toString().lower()
+        assert "json" in text, changed  # built anew, from the feeds
+        ctx.frames.clear()
+        ctx.refuse_stale = True
+        with pytest.raises(StaleTable):
+            ctx.ref("int_air_quality_daily_summary")
+    same = _ctx(spark, landed)
+    same.written, same.refuse_stale, same.as_of = out, True, "2030-01-01"  # the day does not reach this table
+    assert "json" not in same.ref("int_air_quality_daily_summary")._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_scores_of_today_without_a_day(spark):
+    import datetime as dt
+
+    from airshed.operators import forecast, staging
+    from airshed.sources.schema import RAW
+
+    today = dt.datetime.now(dt.timezone.utc).replace(hour=12, minute=0, second=0, microsecond=0)
+    rows = [(today - dt.timedelta(days=k + 1), "UK", "X", 1.0, 2.0, int((today - dt.timedelta(days=k)).timestamp()), 40.0 + k, None) for k in (-1, 0, 1)]
+    feed = spark.createDataFrame(rows, RAW)
+    got = forecast.forecast_accuracy(staging.stage_forecast(feed), staging.stage_current(feed)).collect()
+    assert sum(r.total_forecasts for r in got) == 2  # tomorrow's and today's, not yesterday's
+
+
+def test_refresh_keeps_readings_without_an_ingestion_time(spark, tmp_path):
+    import datetime as dt
+
+    from airshed.sources.schema import RAW
+
+    land, out, ck = (str(tmp_path / n) for n in ("land", "out", "ck"))
+    t = dt.datetime(2024, 3, 1, 2, tzinfo=dt.timezone.utc)
+    row = lambda t, a: (t, "UK", "London", 1.0, 2.0, 1704088800, a, None)
+    landing.land_current(spark.createDataFrame([row(None, 1.0), row(t, 2.0)], RAW), land)
+    refresh_staged(spark, land, "current", out, ck)
+    staged = lambda: sorted((str(r.ingest_date), r.aqi) for r in spark.read.parquet(out).collect())
+    assert staged() == [("2024-03-01", 2.0), ("None", 1.0)]
+    landing.land_current(spark.createDataFrame([row(None, None)], RAW), land)
+    refresh_staged(spark, land, "current", out, ck)
+    assert staged() == [("2024-03-01", 2.0)]
+
+
 def test_a_city_without_a_name_has_no_pattern(spark):
     import datetime as dt
 
