@@ -15,7 +15,12 @@ the work is linear in rows.
 A key's rows are split by value bucket (at most 2 * BUCKETS + 1), so no hour sits in one
 task. Count, mean and squared deviations of the actuals are kept per bucket and merged,
 in order, to what lies before and after each bucket; as deviations from means are carried
-and never squares of values, the variance does not cancel.
+and never squares of values, the variance does not cancel. That array comes from the actuals
+alone and is handed to the rows by key, so each feed is staged once.
+
+Errors are summed per (group, day) in the same way, by bucket of the mean error and then folded
+over the buckets (day_errors); the mart folds the days. The days are mergeable: a day that
+changes is worked out again by itself.
 
 The bounds are decided by the published subtraction |f - a| <= b of doubles: the last value
 within b above f is the greatest double y whose difference to f rounds to at most b.
@@ -24,7 +29,6 @@ within b above f is the greatest double y whose difference to f rounds to at mos
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,50 +96,76 @@ def _nothing() -> Column:
     return _moments(F.lit(0.0), F.lit(0.0), F.lit(0.0))
 
 
-def _bucket_totals(rows: DataFrame) -> DataFrame:
-    """Per (key, bucket): moments of its actuals about their mean, and of all actuals of
-    the key before and after the bucket; the key's extremes and class counts."""
+def _folded(entries: Column, take) -> Column:
+    """Moments of an array's entries together, in order."""
+    return F.aggregate(entries, _nothing(), lambda acc, x: _merged(acc, take(x)))
+
+
+def _key_totals(a: DataFrame) -> DataFrame:
+    """Per key of the actuals: `all`, an entry per value bucket in order (at most 2 * BUCKETS + 1) with the
+    moments of its actuals about their mean and of those before and after it; the key's extremes and class counts."""
     na, v = F.col("n_a"), F.col("v")
     # deviations are taken from the bucket's middle, at most half a bucket away
-    rows = rows.select(*KEY, "bucket", "v", "n_a", C.aqi_category_code(v).alias("code"), (v - (F.col("bucket") + 0.5) * BUCKET_WIDTH).alias("d"))
-    code, d = F.col("code"), F.col("d")
+    rows = a.select(*KEY, _bucket(v).alias("bucket"), "v", "n_a", C.aqi_category_code(v).alias("code"))
+    code, d = F.col("code"), F.col("v") - (F.col("bucket") + 0.5) * BUCKET_WIDTH
     sums = rows.groupBy(*KEY, "bucket").agg(
-        F.sum(na).alias("n"), F.sum(na * d).alias("s"), F.sum(na * d * d).alias("q"), F.min(F.when(na > 0, v)).alias("lo"), F.max(F.when(na > 0, v)).alias("hi"),
+        F.sum(na).alias("n"), F.sum(na * d).alias("s"), F.sum(na * d * d).alias("q"), F.min("v").alias("lo"), F.max("v").alias("hi"),
         *[F.sum(F.when(code == k, na).otherwise(0)).alias(f"k{k}") for k in CLASS_CODES],
     )
     n = F.greatest(F.col("n"), F.lit(1))
-    mean = (F.col("bucket") + 0.5) * BUCKET_WIDTH + F.col("s") / n
-    own = _moments(F.col("n"), mean, F.greatest(F.col("q") - F.col("s") * F.col("s") / n, F.lit(0.0)))
+    own = _moments(F.col("n"), (F.col("bucket") + 0.5) * BUCKET_WIDTH + F.col("s") / n, F.greatest(F.col("q") - F.col("s") * F.col("s") / n, F.lit(0.0)))
     per_key = sums.groupBy(*KEY).agg(
-        F.sort_array(F.collect_list(F.struct("bucket", own.alias("own"), "lo", "hi"))).alias("all"),  # at most 2 * BUCKETS + 1
+        F.sort_array(F.collect_list(F.struct("bucket", own.alias("own"), "lo", "hi"))).alias("all"),
         F.sum("n").alias("N"), F.min("lo").alias("a_min"), F.max("hi").alias("a_max"), *[F.sum(f"k{k}").alias(f"k{k}") for k in CLASS_CODES],
-    ).filter("N > 0")
+    )
 
-    def fold():
+    def running(entries, near):
+        """For each entry: the moments of those passed before it, and the last of their nearest values."""
         start = F.struct(_nothing().alias("sum"), F.lit(None).cast("double").alias("near"), F.array().cast("array<struct<m:struct<n:double,mean:double,m2:double>,near:double>>").alias("out"))
 
-        def add(acc, x, near):
-            return F.struct(_merged(acc["sum"], x["own"]).alias("sum"), F.coalesce(near(x), acc["near"]).alias("near"), F.concat(acc["out"], F.array(F.struct(acc["sum"].alias("m"), acc["near"].alias("near")))).alias("out"))
+        def add(acc, x):
+            seen = F.struct(acc["sum"].alias("m"), acc["near"].alias("near"))
+            return F.struct(_merged(acc["sum"], x["own"]).alias("sum"), near(x).alias("near"), F.concat(acc["out"], F.array(seen)).alias("out"))
 
-        return start, add
+        return F.aggregate(entries, start, add, lambda acc: acc["out"])
 
-    start, add = fold()
-    before = F.aggregate("all", start, lambda acc, x: add(acc, x, lambda y: y["hi"]), lambda acc: acc["out"])
-    after = F.reverse(F.aggregate(F.reverse("all"), start, lambda acc, x: add(acc, x, lambda y: y["lo"]), lambda acc: acc["out"]))
-    one = F.explode(F.arrays_zip("all", before.alias("before"), after.alias("after"))).alias("b")
-    out = per_key.select(*KEY, "N", "a_min", "a_max", *[f"k{k}" for k in CLASS_CODES], one)
-    return out.select(*KEY, F.col("b.all.bucket").alias("bucket"), F.col("b.all.own").alias("own"), F.col("b.before").alias("before"), F.col("b.after").alias("after"), "N", "a_min", "a_max", *[f"k{k}" for k in CLASS_CODES])
+    before = running(F.col("all"), lambda x: x["hi"])
+    after = F.reverse(running(F.reverse("all"), lambda x: x["lo"]))
+    zipped = F.arrays_zip(F.col("all").alias("e"), before.alias("before"), after.alias("after"))
+    entry = F.transform(zipped, lambda z: F.struct(z["e"]["bucket"].alias("bucket"), z["e"]["own"].alias("own"), z["e"]["hi"].alias("hi"), z["before"].alias("before"), z["after"].alias("after")))
+    return per_key.withColumn("whole", _folded(F.col("all"), lambda x: x["own"])).withColumn("all", entry)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows with their key's totals: own, before and after of their bucket, which may hold no actual."""
+    e = F.try_element_at(F.filter("all", lambda x: x["bucket"] <= F.col("bucket")), F.lit(-1))
+    rows = rows.withColumn("_e", e)
+    e, none = F.col("_e"), F.col("_e").isNull()
+    same = e["bucket"] == F.col("bucket")
+    before_m = F.when(none, _nothing()).when(same, e["before"]["m"]).otherwise(_merged(e["before"]["m"], e["own"]))
+    rows = rows.withColumns({
+        "own": F.when(same, e["own"]).otherwise(_nothing()),
+        "before": F.struct(before_m.alias("m"), F.when(same, e["before"]["near"]).otherwise(e["hi"]).alias("near")),
+        "after": F.struct(F.when(none, F.col("whole")).otherwise(e["after"]["m"]).alias("m"), F.when(none, F.col("a_min")).otherwise(e["after"]["near"]).alias("near")),
+    })
+    return rows.drop("_e", "all", "whole")
+
+
+EVERY_DAY = "every day"
 
 
 def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | None = None) -> DataFrame:
     """Per (key, lead hours, forecast value): the pair statistics against actuals.
 
     Only forecasts dated as_of or later (F4) that have an actual reading in the same
-    hour (F5) appear. as_of=None means today, as published. The bound holds for the
+    hour (F5) appear. as_of=None means today, as published; EVERY_DAY sets no bound. The bound holds for the
     actuals too, as the dates of a pair are equal: both scans read from as_of on.
     """
+    if as_of != EVERY_DAY:
+        forecast = forecast.filter(F.col("forecast_date") >= _as_of_day(as_of))
+        current = current.filter(F.col("measurement_date") >= _as_of_day(as_of))
     f = (
-        forecast.filter(F.col("forecast_date") >= _as_of_day(as_of))
+        forecast
         .filter(F.col("aqi").isNotNull())
         .groupBy(
             *KEY,
@@ -145,7 +175,7 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
         .agg(F.count(F.lit(1)).alias("n_f"))
     )
     a = (
-        current.filter(F.col("measurement_date") >= _as_of_day(as_of))
+        current
         .filter(F.col("measurement_datetime").isNotNull() & F.col("aqi").isNotNull())
         .groupBy(
             "country",
@@ -166,8 +196,7 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
     asked = asked.select(*KEY, "forecast_lead_time_hours", "f", "n_f", "p.probe", "p.v", "p.rank", F.lit(0).cast("bigint").alias("n_a"))
     none = {"forecast_lead_time_hours": "bigint", "f": "double", "n_f": "bigint", "probe": "string"}
     rows = asked.unionByName(a.select(*KEY, *[F.lit(None).cast(t).alias(c) for c, t in none.items()], "v", F.lit(1).alias("rank"), "n_a"))
-    rows = rows.withColumn("bucket", _bucket(F.col("v")))
-    rows = rows.join(_bucket_totals(rows), [*KEY, "bucket"])
+    rows = _placed(rows.withColumn("bucket", _bucket(F.col("v"))).join(_key_totals(a), KEY))
 
     na, v = F.col("n_a"), F.col("v")
     split = Window.partitionBy(*KEY, "bucket")
@@ -231,43 +260,76 @@ def forecast_pair_stats(forecast: DataFrame, current: DataFrame, as_of: str | No
     )
 
 
-def _avg_where(cond: Column) -> Column:
-    return F.sum(F.when(cond, F.col("sum_abs_error"))) / F.sum(F.when(cond, F.col("pairs")))
+GROUP = ["country", "city", "forecast_lead_time_hours"]
+CATEGORIES = [("good", "Good"), ("moderate", "Moderate"), ("unhealthy", "Unhealthy")]  # whose errors the mart shows
+ADDED = ["sum_abs_error", "category_hits", *[f"within_{b}" for b in RATING_BOUNDS], *[f"{n}_{c}" for n, _ in CATEGORIES for c in ("error", "pairs")]]
 
 
-def accuracy_metrics(pairs: DataFrame) -> DataFrame:
-    """A10 from the per-value pair statistics: exact pair counts, means, sample
-    standard deviation, extremes, class errors and rating counts. The deviation adds the
-    squared deviations within each value to those of the values' means from the group's
-    mean, which a first aggregate gives."""
-    group = ["country", "city", "forecast_lead_time_hours"]
-    centre = pairs.groupBy(*group).agg((F.sum("sum_abs_error") / F.sum("pairs")).alias("_mean"))
-    same = reduce(lambda x, y: x & y, (F.col(f"p.{c}").eqNullSafe(F.col(f"m.{c}")) for c in group))
-    pairs = pairs.alias("p").join(centre.alias("m"), same).select("p.*", "_mean")
-    n = F.sum("pairs")
-    gap = F.col("sum_abs_error") / F.col("pairs") - F.col("_mean")
-    m2 = F.sum(F.col("error_m2") + F.col("pairs") * gap * gap)
+def day_errors(pairs: DataFrame) -> DataFrame:
+    """Per (country, city, lead hours, day) from the pair statistics: moments of the errors (n, mean,
+    m2), extremes, and sums. Sums are taken per bucket of the mean error, about its middle, and the
+    buckets (at most 2 * BUCKETS + 1) folded; everything combines map-side."""
+    n, mean = F.col("pairs"), F.col("sum_abs_error") / F.col("pairs")
     cat = F.col("forecasted_category")
-    return pairs.groupBy(*group).agg(
-        n.alias("total_forecasts"),
-        (F.sum("sum_abs_error") / n).alias("avg_absolute_error"),
-        F.when(n > 1, F.sqrt(m2 / (n - F.lit(1)))).alias("error_stddev"),
-        F.min("min_abs_error").alias("min_error"),
-        F.max("max_abs_error").alias("max_error"),
-        _avg_where(cat == "Good").alias("good_forecast_error"),
-        _avg_where(cat == "Moderate").alias("moderate_forecast_error"),
-        _avg_where(cat == "Unhealthy").alias("unhealthy_forecast_error"),
-        (F.sum("category_hits") / n * F.lit(100.0)).alias("category_accuracy_percentage"),
-        F.sum("within_10").alias("excellent_forecasts"),
-        F.sum(F.col("within_25") - F.col("within_10")).alias("good_forecasts"),
-        F.sum(F.col("within_50") - F.col("within_25")).alias("fair_forecasts"),
-        F.sum(F.col("pairs") - F.col("within_50")).alias("poor_forecasts"),
+    rows = pairs.select(
+        *GROUP, "forecast_date", "pairs", "error_m2", "min_abs_error", "max_abs_error", _bucket(mean).alias("bucket"), mean.alias("mean"), *ADDED[: 2 + len(RATING_BOUNDS)],
+        *[F.when(cat == label, F.col(c)).alias(f"{name}_{short}") for name, label in CATEGORIES for c, short in (("sum_abs_error", "error"), ("pairs", "pairs"))],
+    )
+    d = F.col("mean") - (F.col("bucket") + 0.5) * BUCKET_WIDTH
+    sums = rows.groupBy(*GROUP, "forecast_date", "bucket").agg(
+        F.sum(n).alias("n"), F.sum(n * d).alias("s"), F.sum(F.col("error_m2") + n * d * d).alias("q"),
+        F.min("min_abs_error").alias("min_error"), F.max("max_abs_error").alias("max_error"), *[F.sum(c).alias(c) for c in ADDED],
+    )
+    own = _moments(F.col("n"), (F.col("bucket") + 0.5) * BUCKET_WIDTH + F.col("s") / F.col("n"), F.greatest(F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.lit(0.0)))
+    return _together(sums.withColumn("errors", own), [*GROUP, "forecast_date"], "bucket")
+
+
+def _together(rows: DataFrame, group: list[str], within: str) -> DataFrame:
+    """Rows of mergeable errors as one per group, folded in the order of `within`."""
+    parts = F.sort_array(F.collect_list(F.struct(within, "errors")))
+    out = rows.groupBy(*group).agg(parts.alias("parts"), F.min("min_error").alias("min_error"), F.max("max_error").alias("max_error"), *[F.sum(c).alias(c) for c in ADDED])
+    return out.select(*group, _folded(F.col("parts"), lambda x: x["errors"]).alias("errors"), "min_error", "max_error", *ADDED)
+
+
+def metrics_of_days(days: DataFrame) -> DataFrame:
+    """A10 from the days' errors: exact pair counts, means, sample standard deviation, extremes,
+    class errors and rating counts."""
+    m = _together(days, GROUP, "forecast_date")
+    n = F.col("errors.n")
+    count = n.cast("bigint")
+    return m.select(
+        *GROUP,
+        count.alias("total_forecasts"),
+        (F.col("sum_abs_error") / n).alias("avg_absolute_error"),
+        F.when(n > 1, F.sqrt(F.col("errors.m2") / (n - 1))).alias("error_stddev"),
+        "min_error",
+        "max_error",
+        *[(F.col(f"{name}_error") / F.col(f"{name}_pairs")).alias(f"{name}_forecast_error") for name, _ in CATEGORIES],
+        (F.col("category_hits") / n * F.lit(100.0)).alias("category_accuracy_percentage"),
+        F.col("within_10").alias("excellent_forecasts"),
+        (F.col("within_25") - F.col("within_10")).alias("good_forecasts"),
+        (F.col("within_50") - F.col("within_25")).alias("fair_forecasts"),
+        (count - F.col("within_50")).alias("poor_forecasts"),
     )
 
 
+def accuracy_metrics(pairs: DataFrame) -> DataFrame:
+    """A10 from the per-value pair statistics."""
+    return metrics_of_days(day_errors(pairs))
+
+
 def forecast_accuracy(forecast: DataFrame, current: DataFrame, as_of: str | None = None) -> DataFrame:
     """forecast_accuracy mart: metrics per (country, city, lead hours) and the scores."""
-    m = accuracy_metrics(forecast_pair_stats(forecast, current, as_of))
+    return scored(accuracy_metrics(forecast_pair_stats(forecast, current, as_of)))
+
+
+def accuracy_of_days(days: DataFrame, as_of: str | None = None) -> DataFrame:
+    """The mart from days that have been worked out before (F4 holds here too)."""
+    return scored(metrics_of_days(days.filter(F.col("forecast_date") >= _as_of_day(as_of))))
+
+
+def scored(m: DataFrame) -> DataFrame:
+    """The scores and ratings (C26-C29) beside the metrics."""
     score = C.reliability_score("category_accuracy_percentage", "excellent_forecasts", "good_forecasts", "total_forecasts")
     return m.select(
         "*",
