@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 # on its decimal digits, not on the binary double: round2(1.005) == 1.01, and two
 # engines that sum in a different order still agree on the rounded result.
 ROUND_DECIMAL = "decimal(28,10)"
+WHOLE = 2.0**53  # doubles from here on have no fraction; the decimal holds all below
 
 
 def round_dp(c: Column | str, places: int) -> Column:
-    """ROUND(x, places), half away from zero on the decimal value; NULL stays NULL."""
+    """ROUND(x, places), half away from zero on the decimal value; NULL stays NULL. A double
+    of 2**53 or more in magnitude is a whole number already and stays as it is."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.round(c.cast(ROUND_DECIMAL), places).cast("double")
+    return F.when(F.abs(c) < WHOLE, F.round(c.cast(ROUND_DECIMAL), places).cast("double")).otherwise(c.cast("double"))
 
 
 def round2(c: Column | str) -> Column:

@@ -1,5 +1,6 @@
 """Classifiers on hand-made frames: one row per CASE branch and edge."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from airshed.functions import classify as C
@@ -138,3 +139,19 @@ def test_health_risk_and_percentages(spark):
     got = df.select(C.health_risk_level("u", "t"), C.percentage("u", "t")).collect()
     assert [r[0] for r in got] == ["High Risk", "Moderate Risk", "Low Risk", "Minimal Risk", "Minimal Risk"]
     assert [r[1] for r in got] == [60.0, 30.0, 20.0, 10.0, None]
+
+
+def test_rounding_over_all_doubles(spark):
+    import duckdb
+    import oracle_sql
+    from airshed.functions.numeric import round_dp
+
+    values = [1e19, -1e300, 0.005, -0.005, 1.005, 2.675, 0.125, 9007199254740991.0, 9007199254740992.0, 1e18, -4503599627370497.5, float("inf"), 0.0, None]
+    want = [1e19, -1e300, 0.01, -0.01, 1.01, 2.68, 0.13, 9007199254740991.0, 9007199254740992.0, 1e18, -4503599627370497.5, float("inf"), 0.0, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    assert [r.y for r in df.select("i", round_dp("x", 2).alias("y")).orderBy("i").collect()] == want
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INT, x DOUBLE)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
+    found = [r[0] for r in con.sql(f"SELECT {oracle_sql.r('x')} FROM t ORDER BY i").fetchall()]
+    assert found[:7] == want[:7] and found[8:] == want[8:] and found[7] == pytest.approx(want[7], rel=1e-15)  # its cast has 53 bits

@@ -40,7 +40,7 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(E.oracle_sql()[name])
     assert sorted(df.columns) == sorted(res.columns)
     srows, orows = df.collect(), res.fetchall()
-    assert len(srows) == len(orows)
+    assert len(srows) == len(orows) > 0  # a query without rows would compare nothing
     assert rows_of(df.columns, srows) == rows_of(res.columns, orows)
 
 

@@ -49,6 +49,18 @@ def test_rank_windows_share_partitioning(feeds):
     assert window_part.count("Exchange hashpartitioning") == 1, window_part
 
 
-def test_newest_first_cuts_before_the_top_k(feeds):
-    p = plan(E.QUERIES["newest_daily_top"](feeds))
-    assert "TakeOrderedAndProject" in p and "FLOOR" in p  # rows of older bins are filtered first
+def test_newest_rows_of_a_written_mart_read_the_needed_days_once(spark, feeds):
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    df = E.QUERIES["newest_daily_top"](feeds)
+    p = plan(df).split("== Initial Plan ==")[0]
+    assert p.count("FileScan") == 1 and "TakeOrderedAndProject" in p
+    days = {f.split("measurement_date=")[1].split("/")[0] for f in df.inputFiles()}
+    rows = [str(r.measurement_date) for r in df.collect()]
+    assert days == set(rows) and len(rows) == E.NEWEST and before is not None
+
+
+def test_forecast_scoring_stages_each_feed_once(feeds):
+    for name in ("forecast_accuracy", "forecast_pair_stats"):
+        p = plan(E.QUERIES[name](feeds)).split("== Initial Plan ==")[0]
+        assert p.count("events.parquet") == 2, name  # the forecasts and the actual readings
+        assert "ReusedExchange" in p
