@@ -13,7 +13,8 @@ a threshold on, and groups the pairs (of the second, 32 bits: 96 in all name a w
 
 Runs whose whole surroundings occur twice need no last round: every window in them does.
 One row of each such context goes on as the partner of others, so thousands of copies cost
-one. Aggregates combine map-side; the join back on a hot rank can be split by AQE.
+one. Aggregates combine map-side; what they leave is written before it is joined, so that a
+hot rank is split by Spark's skew rule.
 
 Bytes covered by any repeated window go; nothing crosses documents; a null text is empty.
 Rows that repeat (same doc_id, same text) count as copies of each other. A text shorter
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import arrays as A
 from .sampling import runs
-from .tables import keyed, read_table, shown_id, written
+from .tables import drop, keyed, read_table, shown_id, tidy, written
 
 LENGTH = 400
 _RUNS = "rank long, context long, id long, text_hash long, lo long, n int"
@@ -126,11 +127,23 @@ def _cut(batches):
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """One row per document: doc_id, n_bytes, spans (the maximal removed byte runs), kept (what is left)."""
     texts = keyed(docs)
+    with tidy() as made:
+        spans = written(_repeats(texts, length), "spans")
+        made.remove(spans)
+    cut = texts.join(spans, ["id", "text_hash"], "left").mapInArrow(_cut, _KEPT)
+    return cut.select(shown_id().alias("doc_id"), "n_bytes", "spans", "kept")
+
+
+def _repeats(texts: DataFrame, length: int) -> DataFrame:
+    """id, text_hash, found: the spans (which may overlap) of each text that has repeated windows."""
     sampled = texts.mapInArrow(_sampled(length), _RUNS)
 
-    # first round: sampled positions whose rank is unique go
+    # first round: sampled positions whose rank is unique go. The ranks that stay are written first:
+    # as a table beside the join they leave Spark free to split a rank that very many positions have
     ranks = sampled.groupBy("rank").agg(F.count(F.lit(1)).alias("times"), F.min("context").alias("c0"), F.max("context").alias("c1")).filter("times > 1")
-    repeated = written(sampled.join(ranks, "rank").select("rank", "context", "id", "text_hash", "lo", "n", (F.col("c0") == F.col("c1")).alias("same")), "repeated")
+    ranks = written(ranks.select("rank", (F.col("c0") == F.col("c1")).alias("same")), "ranks")
+    repeated = written(sampled.join(ranks, "rank").select("rank", "context", "id", "text_hash", "lo", "n", "same"), "repeated")
+    drop(ranks)
 
     # contexts that occur twice are repeated as a whole; one row of each context goes on
     open_ = repeated.filter("not same")
@@ -146,12 +159,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parts = contexts.groupBy(F.col("m.id").alias("id"), F.col("m.text_hash").alias("text_hash")).agg(F.collect_list(part).alias("parts"))
     windows = texts.join(parts, ["id", "text_hash"]).mapInArrow(_doubled(length), _WINDOWS)
     twice = windows.groupBy("rank", "next_rank").agg(F.count(F.lit(1)).alias("times"), F.max("alone").alias("alone")).filter("times > 1 and alone")
-    found = windows.filter("alone").join(twice.select("rank", "next_rank"), ["rank", "next_rank"], "left_semi")
+    twice = written(twice.select("rank", "next_rank"), "twice")
+    found = windows.filter("alone").join(twice, ["rank", "next_rank"], "left_semi")
     found = found.select("id", "text_hash", F.struct(F.col("place").alias("lo"), (F.col("place") + length).alias("hi")).alias("span"))
 
-    spans = whole.union(found).groupBy("id", "text_hash").agg(F.collect_list("span").alias("found"))
-    cut = texts.join(spans, ["id", "text_hash"], "left").mapInArrow(_cut, _KEPT)
-    return cut.select(shown_id().alias("doc_id"), "n_bytes", "spans", "kept")
+    return whole.union(found).groupBy("id", "text_hash").agg(F.collect_list("span").alias("found"))
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

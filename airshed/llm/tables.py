@@ -39,6 +39,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def drop(*tables: DataFrame) -> None:
     """Remove tables of written() that nothing reads any more."""
     for table in tables:
+        for made in _OPEN:
+            made[:] = [t for t in made if t is not table]
         path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch)
         path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -52,7 +54,7 @@ def tidy() -> Iterator[list[DataFrame]]:
         yield made
     finally:
         _OPEN.remove(made)
-        drop(*made)
+        drop(*list(made))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
