@@ -27,8 +27,9 @@ Forms found (S: a space, no-break space, dot or hyphen):
 * dates 2024-12-31, 31.12.2024 and 12/31/2024; the day is first where the month cannot be.
 * secrets after the names of NAMES (any case), quoted or not, with = : := or => and spaces.
 
-The text is split at the matches and joined again; quantifiers are bounded and anchored, so
-long texts take time in proportion. There is no shuffle.
+The text is split at the matches and joined again. A value is matched to its end, however
+long it is: runs are possessive and begin where a run begins, so each is read once and long
+texts take time in proportion; other quantifiers are bounded by the format. There is no shuffle.
 
 A null text stays null, an empty one empty, and neither has replacements; repeated rows
 are treated alike; ids play no part; an empty table gives an empty result; other columns
@@ -49,7 +50,7 @@ KEY = "an example key: give your own"
 ROUNDS = 8
 
 # fixed values: formats
-EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}"
+EMAIL = r"(?<![\w.%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.){1,127}[A-Za-z]{2,}+"  # a domain has 127 labels at most
 S, GAP = r"[ \u00a0\u202f.-]", r"[ \u00a0\u202f-]"
 IBAN_LENGTHS = {
     15: "NO", 16: "BE", 18: "DK FI FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
@@ -71,12 +72,12 @@ PHONE = "|".join([
 SSN = r"(?<!\w)\d{3}-\d{2}-\d{4}(?!\w)"
 CARD = rf"(?<!\w)(?:\d{{13,19}}|\d{{4}}{S}\d{{4}}{S}\d{{4}}{S}(?:\d{{4}}{S}\d{{3}}|\d{{1,7}})|\d{{4}}{S}\d{{6}}{S}\d{{4,5}})(?!\w)"
 ACCESS_KEY = r"(?<!\w)AKIA[0-9A-Z]{16}(?!\w)"
-PASSWORD = r"(?<=password=)[^\s\"']{1,128}"
-TOKEN = r"(?<=token = \")[^\s\"]{1,256}(?=\")"
+PASSWORD = r"(?<=password=)[^\s\"']++"
+TOKEN = r"(?<=token = \")[^\s\"]++(?=\")"
 NAMES = r"(?:password|passwort|passwd|passphrase|pwd|secret|token|(?:api|access|private|secret)[ _-]?key)"
-_HEAD = rf"(?<![A-Za-z0-9])(?i:{NAMES})[\"']?[ \t]{{0,16}}(?::=|=>|[=:])[ \t]{{0,16}}"
-_NAMED = rf"(?!password=[^\s\"'])(?!token = \"[^\s\"]{{1,256}}\"){_HEAD}"  # but for the spellings above
-SECRET = rf"{_NAMED}(?:\"[^\"\r\n]{{1,4096}}\"|'[^'\r\n]{{1,4096}}'|[^\s\"']{{1,4096}})"
+_HEAD = rf"(?<![A-Za-z0-9])(?i:{NAMES})[\"']?[ \t]*+(?::=|=>|[=:])[ \t]*+"
+_NAMED = rf"(?!password=[^\s\"'])(?!token = \"[^\s\"]++\"){_HEAD}"  # but for the spellings above
+SECRET = rf"{_NAMED}(?:\"[^\"\r\n]++\"|'[^'\r\n]++'|[^\s\"']++)"
 PATTERN = "|".join([EMAIL, IBAN, DATE, ADDRESS, PHONE, SSN, CARD, ACCESS_KEY, PASSWORD, TOKEN, SECRET])
 DIGITS, SMALL, CAPITAL, HEX = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789abcdef"
 CYCLE, DAYS_A, DAYS_B = 146_097, 189, 773
