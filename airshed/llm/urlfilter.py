@@ -26,11 +26,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from .tables import read_table, written
 
 # fixed values: (verdict, host, path)
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
-WORDS, BITS = 1 << 20, 5  # 8 MB of filter
+WORDS, BITS = 1 << 18, 5  # 2 MB of filter; a row of it is two longs
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -88,16 +88,17 @@ def judge(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     key = F.when(rule.isNull() & (F.col("host") != ""), canonical(F.col("host"), F.col("path")))
     out = out.select("page", "host", "path", rule.alias("rule"), verdict.alias("ruled"), key.alias("canonical"))
-    listed = listed.select("canonical").filter(F.col("canonical").isNotNull()).distinct()
-    open_ = out.filter(F.col("canonical").isNotNull()).select(F.col("canonical")).distinct()
-    possible = open_.join(bloom(listed), _word(F.col("canonical")) == F.col("word")).filter(_mask(F.col("canonical")).bitwiseAND(F.col("bits")) == _mask(F.col("canonical")))
-    hits = possible.select("canonical").join(listed, "canonical").select("canonical", F.lit(True).alias("hit"))
-    # pages that a rule decides, or that have no host, take no part in the join (as null keys
-    # they would all meet in one task)
+    listed = written(listed.select("canonical").filter(F.col("canonical").isNotNull()).distinct(), "listed")
+    # pages that a rule decides, or that have no host, ask nothing
     settled = out.filter(F.col("canonical").isNull()).select("page", "host", "path", "rule", F.coalesce("ruled", F.lit("allow")).alias("verdict"))
-    asked = out.filter(F.col("canonical").isNotNull()).join(hits, "canonical", "left")
-    asked = asked.select("page", "host", "path", "rule", F.when(F.col("hit"), "block").otherwise("allow").alias("verdict"))
-    return settled.union(asked).select("page.*", "host", "path", "rule", "verdict")
+    asked = out.filter(F.col("canonical").isNotNull()).select("page", "host", "path", "rule", "canonical")
+    key = F.col("canonical")
+    asked = asked.join(F.broadcast(bloom(listed)), _word(key) == F.col("word"), "left")  # at most WORDS rows
+    possible = F.coalesce(_mask(key).bitwiseAND(F.col("bits")) == _mask(key), F.lit(False))
+    passed = asked.filter(~possible).select("page", "host", "path", "rule", F.lit("allow").alias("verdict"))
+    exact = asked.filter(possible).select("page", "host", "path", "rule", "canonical").join(listed.withColumn("hit", F.lit(True)), "canonical", "left")
+    exact = exact.select("page", "host", "path", "rule", F.when(F.col("hit"), "block").otherwise("allow").alias("verdict"))
+    return settled.union(passed).union(exact).select("page.*", "host", "path", "rule", "verdict")
 
 
 def held_twice(pages: DataFrame) -> DataFrame:
