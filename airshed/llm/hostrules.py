@@ -1,7 +1,9 @@
 """Quality rules at document and host level, in column expressions only.
 
 Each document gets its counts and two base rules: too few words, and too many words in
-5-word windows that occur twice or more in the text. Failures are then counted by host
+5-word windows that occur twice or more in the text. Three more rules are no fault of one
+document but of a host that has many such: symbols beside words, a mean word length out of
+the ordinary, copied lines. Failures of all five are then counted by host
 (the source column; one row per host and task before the shuffle, so a hot host is no hot
 key), and each host's failure rate is shrunk towards all hosts': with an empirical beta
 prior of mean m and weight k (method of moments over the hosts' rates), the rate of a host
@@ -31,7 +33,9 @@ LIMIT = 0.5
 MOST_WEIGHT = 1e6  # of a prior, in documents, where hosts hardly differ
 SPACES = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
-RULES = ("few_words", "repeats")
+SYMBOL_PERCENT, LINE_PERCENT = 10, 30  # of the words; of the lines with a word
+MEAN_LENGTH = (2, 12)  # characters of a word
+BASE, RULES = ("few_words", "repeats"), ("few_words", "repeats", "symbols", "word_length", "copied_lines")
 
 
 def let(value: Column, then) -> Column:
@@ -65,27 +69,32 @@ def repeated_words(w: Column, window: int = WINDOW) -> Column:
     return F.when(F.size(w) <= window, F.lit(0)).otherwise(let(hashes, count)).cast("long")
 
 
-def duplicate_lines(text: Column) -> Column:
-    """Lines with a word that equal an earlier line."""
+def lines(text: Column) -> Column:
+    """n: lines with a word; dup: those of them that equal an earlier line."""
     with_word = F.filter(F.split(text, "\n", -1), lambda s: F.trim(F.translate(s, SPACES, " " * len(SPACES))) != "")
-    return let(with_word, lambda s: F.size(s) - F.size(F.array_distinct(s))).cast("long")
+    return let(with_word, lambda s: F.struct(F.size(s).cast("long").alias("n"), (F.size(s) - F.size(F.array_distinct(s))).cast("long").alias("dup")))
 
 
 def document_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, source, the counts and one boolean per base rule (true: failed)."""
+    """doc_id, source, the counts and one boolean per rule (true: failed)."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     out = docs.select("doc_id", F.col("source").cast("string").alias("source"), text.alias("text"))
     counts = out.select(
         "doc_id", "source",
         F.length(F.translate("text", " " + SPACES, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
-        duplicate_lines(F.col("text")).alias("n_dup_lines"),
+        lines(F.col("text")).alias("l"),
         let(words(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), repeated_words(w).alias("n_repeat_words"))).alias("w"),
     )
-    counts = counts.select("doc_id", "source", "w.n_words", "word_chars", "n_symbols", "n_dup_lines", "w.n_repeat_words")
-    few = F.col("n_words") < LEAST_WORDS
-    repeats = 100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words")
-    return counts.withColumn("few_words", few).withColumn("repeats", repeats)
+    counts = counts.select("doc_id", "source", "w.n_words", "word_chars", "n_symbols", F.col("l.dup").alias("n_dup_lines"), "w.n_repeat_words", F.col("l.n").alias("n_lines"))
+    n, chars = F.col("n_words"), F.col("word_chars")
+    return counts.withColumns({
+        "few_words": n < LEAST_WORDS,
+        "repeats": 100 * F.col("n_repeat_words") > REPEAT_PERCENT * n,
+        "symbols": (n > 0) & (100 * F.col("n_symbols") > SYMBOL_PERCENT * n),
+        "word_length": (n > 0) & ((chars < MEAN_LENGTH[0] * n) | (chars > MEAN_LENGTH[1] * n)),
+        "copied_lines": 100 * F.col("n_dup_lines") > LINE_PERCENT * F.col("n_lines"),
+    }).drop("n_lines")
 
 
 def host_verdicts(ruled: DataFrame, limit: float = LIMIT) -> DataFrame:
@@ -107,7 +116,7 @@ def judge(docs: DataFrame, limit: float = LIMIT) -> DataFrame:
     ruled = written(document_rules(docs), "rules")
     hosted = ruled.filter(F.col("source").isNotNull()).join(host_verdicts(ruled, limit).select("source", F.col("bad").alias("host_bad")), "source")
     out = hosted.unionByName(ruled.filter(F.col("source").isNull()).withColumn("host_bad", F.lit(False)))  # no host, no join
-    failed = F.col("few_words") | F.col("repeats")
+    failed = F.col(BASE[0]) | F.col(BASE[1])
     return out.withColumns({"base_failed": failed, "kept": ~(failed | F.col("host_bad"))})
 
 
@@ -125,18 +134,21 @@ win AS (
   FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w WHERE len(ws) >= 5)
 ), again AS (SELECT doc_id, s FROM win GROUP BY doc_id, s HAVING count(*) > 1),
 rep AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT win.doc_id, unnest(generate_series(i, i + 4)) AS j FROM win JOIN again USING (doc_id, s)) GROUP BY doc_id),
-lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n, count(*) AS every FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 c AS (
   SELECT d.doc_id, d.source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
-    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lines.every, 0) AS n_lines
   FROM d JOIN w USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lines USING (doc_id)
-), f AS (SELECT *, n_words < 10 AS few, 100 * n_repeat_words > 20 * n_words AS rpt FROM c),
-h AS (SELECT source, count(*) AS n, count(*) FILTER (few) AS ff, count(*) FILTER (rpt) AS fr FROM f WHERE source IS NOT NULL GROUP BY source),
-p AS (SELECT avg(ff / n) AS mf, var_pop(ff / n) AS vf, avg(fr / n) AS mr, var_pop(fr / n) AS vr FROM h),
-k AS (
-  SELECT mf, mr, CASE WHEN vf > 0 THEN least(1e6, greatest(1.0, mf * (1 - mf) / vf - 1)) ELSE 1e6 END AS kf,
-    CASE WHEN vr > 0 THEN least(1e6, greatest(1.0, mr * (1 - mr) / vr - 1)) ELSE 1e6 END AS kr FROM p
-), v AS (SELECT source, greatest((ff + kf * mf) / (n + kf), (fr + kr * mr) / (n + kr)) > 0.5 AS bad FROM h, k)
+), f AS (
+  SELECT *, n_words < 10 AS few, 100 * n_repeat_words > 20 * n_words AS rpt, n_words > 0 AND 100 * n_symbols > 10 * n_words AS sym,
+    n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 12 * n_words) AS len, 100 * n_dup_lines > 30 * n_lines AS dup FROM c
+), h AS (
+  SELECT source, rule, count(*) AS n, count(*) FILTER (failed) AS f FROM (
+    SELECT source, unnest(['few', 'rpt', 'sym', 'len', 'dup']) AS rule, unnest([few, rpt, sym, len, dup]) AS failed FROM f WHERE source IS NOT NULL
+  ) GROUP BY source, rule
+), p AS (SELECT rule, avg(f / n) AS m, var_pop(f / n) AS v FROM h GROUP BY rule),
+k AS (SELECT rule, m, CASE WHEN v > 0 THEN least(1e6, greatest(1.0, m * (1 - m) / v - 1)) ELSE 1e6 END AS w FROM p),
+v AS (SELECT source, max((f + w * m) / (n + w)) > 0.5 AS bad FROM h JOIN k USING (rule) GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, few OR rpt AS base_failed, NOT (few OR rpt OR coalesce(bad, false)) AS kept
 FROM f LEFT JOIN v USING (source)
 """

@@ -30,6 +30,18 @@ def test_rules_and_listed_urls(spark):
     assert "Python" not in plan(out)
 
 
+def test_a_tie_between_rules_blocks_and_only_possible_hits_are_shuffled(spark):
+    pages = spark.createDataFrame([(i, f"http://h{i % 50}.net/p{i}") for i in range(2000)] + [(9000 + i, "http://often.net/x") for i in range(500)] + [(8000, "http://a.b.org/xy")], "page_id long, url string")
+    tied = [("allow", "b.org", "/xy"), ("block", "a.b.org", "/"), ("block", "b.org", "/xy")]
+    assert [r.verdict for r in U.judge(pages.filter("page_id = 8000"), pages.limit(0).selectExpr("url AS canonical"), tied).collect()] == ["block"]
+    listed = spark.createDataFrame([("often.net/x",)], "canonical string")
+    out = U.judge(pages, listed)
+    assert {r.page_id for r in out.filter("verdict = 'block'").collect()} == set(range(9000, 9500))
+    out.write.format("noop").mode("overwrite").save()
+    text = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "bits" in text and text.count("Join LeftOuter") >= 2
+
+
 def test_the_filter_has_no_false_negatives_and_few_positives(spark):
     listed = spark.range(20_000).selectExpr("concat('h/', id) AS canonical")
     other = spark.range(20_000).selectExpr("concat('o/', id) AS canonical")
@@ -63,5 +75,12 @@ def test_counts_and_host_verdicts(spark):
         failed = want[0] < 10 or 100 * want[4] > 20 * want[0]
         assert r.base_failed == failed and r.kept == (not failed and s != "bad")
     assert rows[200].host_bad and not rows[None].host_bad
+    good = [" ".join(f"w{i}{j}" for j in range(15)) for i in range(60)]
+    junk = {"symbols": " ".join(["word#"] * 3 + [f"$a{j}" for j in range(12)]), "word_length": " ".join(f"{j}" * 14 for j in range(12)), "copied_lines": "\n".join(["stop"] * 4 + [f"line {j} of text a{j} b{j}" for j in range(5)])}
+    docs = [(k * 100 + i, junk[r] if i % 10 else good[i], r, "c") for k, r in enumerate(junk) for i in range(40)]
+    docs += [(1000 + h * 50 + i, good[i + h], f"h{h}", "c") for h in range(20) for i in range(20)]
+    rows = {r.doc_id: r for r in H.judge(spark.createDataFrame(docs, "doc_id long, text string, source string, kept string")).collect()}
+    for i, _, s, _ in docs:  # a host full of junk loses all its documents, though none fails by itself
+        assert not rows[i].base_failed and rows[i].kept == s.startswith("h"), (i, s)
     assert H.judge(out.select("doc_id", "source", "kept").limit(0).selectExpr("*", "'a' AS text")).count() == 0
     assert "Python" not in plan(out)
