@@ -72,9 +72,9 @@ def enter(stage: str, forget: Callable[[], None] | None = None) -> None:
         for name in [n for n in _KEPT if n != stage]:
             _KEPT.pop(name)()
         _POW.__init__()
-        if _STAGE:
-            give_back()
-        _STAGE[:] = [stage]
+    if _STAGE:  # not the worker's first task: what the one before has freed
+        give_back()
+    _STAGE[:] = [stage]
     if forget is not None:
         _KEPT[stage] = forget
 

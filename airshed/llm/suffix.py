@@ -34,6 +34,7 @@ from .sampling import runs
 from .tables import drop, keyed, read_table, shown_id, tidy, written
 
 LENGTH = 400
+PIECE = 1 << 19  # bytes of text whose positions are ranked together
 _RUNS = "rank long, context long, id long, text_hash long, lo long, n int"
 _WINDOWS = "id long, text_hash long, place long, rank long, next_rank int, alone boolean"
 _KEPT = "id long, n_bytes long, spans array<struct<lo:long,hi:long>>, kept binary"
@@ -42,11 +43,11 @@ _KEPT = "id long, n_bytes long, spans array<struct<lo:long,hi:long>>, kept binar
 def _chunks(offsets: np.ndarray, buf: np.ndarray, length: int):
     """(row shift, place shift, offsets, bytes): a long text in overlapping parts, so that
     memory is bounded by the piece size and every window is in exactly one part."""
-    if len(offsets) > 2 or len(buf) <= 2 * A.PIECE:
+    if len(offsets) > 2 or len(buf) <= 2 * PIECE:
         yield 0, offsets, buf
         return
-    for lo in range(0, len(buf) - length + 1, A.PIECE):
-        part = buf[lo : lo + A.PIECE + length - 1]
+    for lo in range(0, len(buf) - length + 1, PIECE):
+        part = buf[lo : lo + PIECE + length - 1]
         yield lo, np.array([0, len(part)]), part
 
 
@@ -54,8 +55,9 @@ def _sampled(length: int):
     k = -(-length // 2)
 
     def ranked(batches):
+        A.enter("suffix: sampled")
         for batch in batches:
-            for first, offsets, buf in A.pieces(batch.column("text")):
+            for first, offsets, buf in A.pieces(batch.column("text"), PIECE):
                 for shift, off, part in _chunks(offsets, buf, length):
                     if len(part) < length:
                         continue
@@ -81,6 +83,7 @@ def _doubled(length: int):
     k = -(-length // 2)
 
     def pairs(batches):
+        A.enter("suffix: doubled")
         for batch in batches:
             ids, hashes, parts = batch.column("id"), batch.column("text_hash"), batch.column("parts")
             for first, offsets, buf in A.pieces(batch.column("text")):
@@ -104,7 +107,8 @@ def _doubled(length: int):
 
 
 def _cut(batches):
-    for batch in batches:
+    A.enter("suffix: cut")
+    for batch in (whole.slice(first, 500) for whole in batches for first in range(0, len(whole), 500)):
         ids, hashes, found = batch.column("id"), batch.column("text_hash"), batch.column("found")
         texts = batch.column("text").cast(pa.binary())
         n_bytes, spans, kept = [], [], []
