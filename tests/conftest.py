@@ -21,3 +21,17 @@ def spark():
 @pytest.fixture()
 def tmp_dir(tmp_path):
     return str(tmp_path)
+
+
+@pytest.fixture(autouse=True)
+def small_writes(request, spark):
+    """Tests write very many small partitions: several tasks share them, as a larger table's would."""
+    if "llm" in str(request.node.fspath):
+        yield
+        return
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    yield
+    for k in sizes:
+        spark.conf.unset(k)
