@@ -36,8 +36,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop(*tables: DataFrame) -> None:
-    """Remove tables of written() that nothing reads any more."""
+class Folder:
+    """A folder below the shared checkpoint folder for a job's own files; it goes as tables do."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.sparkSession, self._scratch = spark, scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+        if _OPEN:
+            _OPEN[-1].append(self)
+
+
+def drop(*tables: DataFrame | Folder) -> None:
+    """Remove tables of written() and folders that nothing reads any more."""
     for table in tables:
         for made in _OPEN:
             made[:] = [t for t in made if t is not table]
@@ -81,13 +90,32 @@ def shown_id(name: str = "id") -> Column:
 FILTER_WORDS, FILTER_BITS = 1 << 20, 4  # 8 MB whatever the number of keys
 
 
+def _key_word(k: Column) -> Column:
+    return F.shiftrightunsigned(k, 44)
+
+
+def _key_mask(k: Column) -> Column:
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(k, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(FILTER_BITS)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def filter_words(keys: DataFrame, name: str) -> DataFrame:
+    """(word, bits) of the filter of a column of 64-bit hashes; at most FILTER_WORDS rows."""
+    return keys.groupBy(_key_word(F.col(name)).alias("word")).agg(F.bit_or(_key_mask(F.col(name))).alias("bits"))
+
+
+def with_possible(rows: DataFrame, words: DataFrame, key: str, name: str = "possible") -> DataFrame:
+    """`rows` with a flag, whether the filter of filter_words() may hold the hash in `key`."""
+    k = F.col(key)
+    asked = rows.join(F.broadcast(words), _key_word(k) == F.col("word"), "left")  # at most FILTER_WORDS rows
+    return asked.withColumn(name, F.coalesce(_key_mask(k).bitwiseAND(F.col("bits")) == _key_mask(k), F.lit(False))).drop("word", "bits")
+
+
 def key_filter(keys: DataFrame, name: str) -> np.ndarray:
     """A blocked Bloom filter (one 64-bit word per key) of a column of 64-bit hashes, made
     by an aggregate of at most FILTER_WORDS rows. It spares a later exact join rows without a
     partner; where keys are so many that it lets most rows pass, the join does the work."""
-    k = F.col(name)
-    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(k, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(FILTER_BITS)]
-    words = keys.groupBy(F.shiftrightunsigned(k, 44).alias("word")).agg(F.bit_or(reduce(lambda a, b: a.bitwiseOR(b), bits)).alias("bits"))
+    words = filter_words(keys, name)
     out = np.zeros(FILTER_WORDS, dtype=np.uint64)
     for rows in words.select("word", "bits").toArrow().to_batches():
         out[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)

@@ -13,7 +13,11 @@ are nobody's record. Memory: one record and a read buffer.
 
 Payloads of at least 100 bytes that are equal are stored once: the page with the smallest
 page_id is the response, the others are revisits that name it. Equal payloads are found by
-an aggregate on their digest, which combines map-side.
+an aggregate on their digest, which combines map-side; digests and page_ids are joined, not
+payloads. A revisit holds no payload, so its record is made from that narrow table. The pages
+themselves are asked map-side whether a Bloom filter of the revisits (8 MB whatever their
+number) may hold them: what it does not hold is written where it is read, and what it holds
+wrongly is known exactly from the narrow table and kept by a join with that list.
 
 A null html is an empty payload; a null url has no target; a null page_id comes after all
 others, so it revisits if its payload has another page; rows that repeat the smallest
@@ -34,7 +38,7 @@ from pyspark.sql import functions as F
 
 from airshed.session import scratch_path
 
-from .tables import read_table, written
+from .tables import filter_words, read_table, tidy, with_possible, written
 
 SHARE = 100  # bytes; smaller payloads are never shared
 SPLIT = 8 << 20  # bytes of a range
@@ -51,10 +55,11 @@ def _filesystem(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def record(kind: str, name: str, url: str | None, payload: bytes, digest: str, refers_to: str | None) -> bytes:
+def record(kind: str, name: str, url: str | None, payload: bytes, digest: str, refers_to: str | None, size: int | None = None) -> bytes:
     """One record as a gzip member. A revisit has the HTTP header only; its Content-Length
-    there is still the payload's."""
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+    there is still the payload's (`size`, if the payload is not at hand)."""
+    size = len(payload) if size is None else size
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % size
     block = http if kind == "revisit" else http + payload
     head = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{name}>", "WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
@@ -73,20 +78,21 @@ def _writer(folder: str, limit: int):
         fs.create_dir(root, recursive=True)
         out, done = None, []
         for batch in batches:
-            for name, url, html, kind, digest, refers_to in zip(*(batch.column(c) for c in ("name", "url", "html", "kind", "digest", "refers_to"))):
+            for name, url, html, digest, size, refers_to in zip(*(batch.column(c) for c in ("name", "url", "html", "digest", "size", "refers_to"))):
                 if out is None:
                     path = f"{root}/{uuid.uuid4().hex}.warc.gz"
-                    out, size, records = fs.open_output_stream(path, compression=None), 0, 0
-                data = record(kind.as_py(), name.as_py() or "", url.as_py(), html.as_py().encode(), digest.as_py(), refers_to.as_py())
+                    out, length, records = fs.open_output_stream(path, compression=None), 0, 0
+                kind = "revisit" if refers_to.is_valid else "response"
+                data = record(kind, name.as_py() or "", url.as_py(), (html.as_py() or "").encode(), digest.as_py(), refers_to.as_py(), size.as_py())
                 out.write(data)
-                size, records = size + len(data), records + 1
-                if size >= limit:
+                length, records = length + len(data), records + 1
+                if length >= limit:
                     out.close()
-                    done.append((path, size, records))
+                    done.append((path, length, records))
                     out = None
         if out is not None:
             out.close()
-            done.append((path, size, records))
+            done.append((path, length, records))
         if done:
             base = folder[: len(folder) - len(root)] if folder.endswith(root) else ""
             paths, sizes, counts = zip(*done)
@@ -99,15 +105,29 @@ def write_archives(pages: DataFrame, folder: str, limit: int = FILE) -> DataFram
     """Write a record per page (page_id, url, html); returns the manifest."""
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
-    rows = rows.withColumn("digest", F.sha2("html", 256)).withColumn("size", F.octet_length("html"))
-    shared = rows.filter(F.col("size") >= SHARE).groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).filter("n > 1 and first is not null")
-    rows = rows.join(shared.select("digest", "first"), "digest", "left")
-    again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
-    rows = rows.select(
-        F.col("page_id").cast("string").alias("name"), "url", "html", F.when(again, "revisit").otherwise("response").alias("kind"), "digest",
-        F.when(again, F.col("first").cast("string")).alias("refers_to"),
-    )
-    return written(rows.mapInArrow(_writer(folder, limit), _MANIFEST), "manifest")
+    rows = rows.withColumns({"digest": F.sha2("html", 256), "size": F.octet_length("html")})
+    rows = rows.withColumn("pair", F.xxhash64("page_id", "digest"))
+    with tidy() as made:
+        narrow = written(rows.filter(F.col("size") >= SHARE).drop("html"), "payloads")
+        shared = narrow.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("page_id").alias("first")).filter("n > 1 and first is not null")
+        shared = written(shared.select("digest", "first"), "shared")
+        again = written(narrow.join(shared, "digest").filter(~F.col("page_id").eqNullSafe(F.col("first"))), "revisits")
+        known = written(filter_words(again, "pair"), "filter")
+
+        def same(a, b):
+            return (a["digest"] == b["digest"]) & a["page_id"].eqNullSafe(b["page_id"])
+
+        maybe = with_possible(narrow, known, "pair").filter("possible").drop("possible")
+        wrongly = written(maybe.join(again, same(maybe, again), "left_anti").select("page_id", "digest").distinct(), "wrongly held")
+        asked = with_possible(rows, known, "pair").withColumn("possible", F.col("possible") & (F.col("size") >= SHARE))
+        held = asked.filter("possible")
+        plain = asked.filter("not possible").unionByName(held.join(wrongly, same(held, wrongly), "left_semi"))
+        name, none = F.col("page_id").cast("string").alias("name"), F.lit(None).cast("string")
+        every = plain.select(name, "url", "html", "digest", "size", none.alias("refers_to"))
+        every = every.union(again.select(name, "url", none.alias("html"), "digest", "size", F.col("first").cast("string").alias("refers_to")))
+        manifest = written(every.mapInArrow(_writer(folder, limit), _MANIFEST), "manifest")
+        made.remove(manifest)
+    return manifest
 
 
 class _Source:

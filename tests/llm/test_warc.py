@@ -60,3 +60,16 @@ def test_shared_payloads_nulls_and_repeats(spark, tmp_path):
     assert {r.target_uri for r in rows if r.record_id == "5"} == {"http://a/%0A"} and [r.target_uri for r in rows if r.record_id == "9"] == [None]
     empty = warc.write_archives(spark.createDataFrame([], SCHEMA), str(tmp_path / "e"))
     assert warc.read_archives(empty).count() == 0
+
+
+def test_what_the_filter_holds_wrongly_is_kept(spark, tmp_path, monkeypatch):
+    """A filter of one word lets nearly every page pass as a possible revisit."""
+    from pyspark.sql import functions as F
+
+    from airshed.llm import tables
+
+    monkeypatch.setattr(tables, "_key_word", lambda k: F.lit(0).cast("long") + 0 * k)
+    pages = [(i, f"http://h/{i}", f"payload {i % 70} " * 20, "x", 1) for i in range(100)] + [(None, "n", "payload 99 " * 20, "x", 1)]
+    manifest = warc.write_archives(spark.createDataFrame(pages, SCHEMA), str(tmp_path / "w"))
+    got = {(r.record_id, r.record_type, r.refers_to) for r in warc.read_archives(manifest).collect()}
+    assert got == {(str(i), "revisit" if i >= 70 else "response", str(i - 70) if i >= 70 else None) for i in range(100)} | {("", "response", None)}
