@@ -42,13 +42,29 @@ def test_windows_short_items_and_shards(spark):
     docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)
     bench = spark.createDataFrame(items, "item_id long, text string")
     want = brute(texts, items, 6)
-    for size in (10**6, 40):
-        got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in D.decontaminate(docs, bench, window=6, **({} if size > 100 else {})).collect()} if size > 100 else None
-        if got is None:
-            got = {r.id: (r.n_words, sum(s["hi"] - s["lo"] for s in r.spans), list(r["items"])) for r in D.find_contamination(docs, bench, 6, size).collect()}
-            assert {i: w for i, w in got.items()} == {i: w[:3] for i, w in enumerate(want)}
-        else:
-            assert got == dict(enumerate(want))
+    got = {r.doc_id: (r.n_words, r.n_hit, list(r["items"]), r.contaminated) for r in D.decontaminate(docs, bench, window=6).collect()}
+    assert got == dict(enumerate(want))
+    for size in (40, 24):  # several shards; items of 20 words in overlapping parts
+        found = D.find_contamination(docs, bench, 6, size).collect()
+        assert {r.id: (r.n_words, sum(s["hi"] - s["lo"] for s in r.spans), list(r["items"])) for r in found} == {i: w[:3] for i, w in enumerate(want)}
+
+
+def test_a_long_item_is_cut_and_a_passage_in_many_items_is_held_once(spark, tmp_path):
+    long = " ".join(f"w{i}" for i in range(500))
+    shared = " ".join(f"s{i}" for i in range(30))
+    items = [(1, long), (None, long)] + [(i, f"a{i} {shared} b{i}") for i in range(10, 60)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    texts = [long, " ".join(long.split()[90:110]), "q " + shared, shared + " b17", "w1 w2 w3"]
+    docs = spark.createDataFrame([(i, t, "x", 1) for i, t in enumerate(texts)], SCHEMA)
+    want = [(n, h, [x for x in names if x != "None"]) for n, h, names, _ in brute(texts, items)]
+    paths = D.compiled_items(bench, str(tmp_path / "automata"), shard_words=200)
+    assert len(paths) > 5
+    parts = [D._load(p) for p in paths]
+    assert max(len(known) for known, _, _ in parts) <= 400
+    assert sum(len(a.laid) for _, a, _ in parts) <= 2 * sum(len(t.split()) for _, t in items)
+    for size in (200, D.SHARD_WORDS):
+        found = D.find_contamination(docs, bench, shard_words=size).collect()
+        assert {r.id: (r.n_words, sum(s["hi"] - s["lo"] for s in r.spans), list(r["items"])) for r in found} == dict(enumerate(want))
 
 
 def test_spans_are_cut_and_odd_tables(spark):
