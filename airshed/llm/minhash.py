@@ -11,7 +11,8 @@ paired out: its most central member is joined with the others. Where a bucket th
 holds several components, classes are left out if too many of their shingles are in no
 other open class to reach the similarity with any; what remains is joined with a centre
 again, and only pairs in different components whose common shingles could suffice are
-compared directly. No link is lost by this: each test is a bound on the intersection.
+compared directly; a full bucket is dealt to blocks, and each two blocks meet by themselves.
+No link is lost by this: each test is a bound on the intersection.
 Components are found by star contraction joins, written down each round.
 
 Nulls and empty texts have no shingles and link with nothing; a null doc_id comes after
@@ -34,6 +35,7 @@ from .tables import keyed, order_id, read_table, shown_id, tidy, written
 SHINGLE = 5
 ROWS, MISS = 5, 4.5e-7  # a pair at the similarity asked for shares no band with this probability at most
 PIECE = 1 << 19
+BLOCK = 512  # members of a bucket that meet in a task at most, about; all blocks meet
 _SIGMA, _PI = A.U(0xA24BAED4963EE407), A.U(0xE7037ED1A0B428DB)
 _SIGNATURES = "id long, text_hash long, n_shingles long, class binary, bands array<long>"
 _SETS = "class binary, shingles array<long>"
@@ -248,14 +250,20 @@ def _verdicts(docs: DataFrame, percent: int) -> DataFrame:
     known = tried.select("a", "b", F.col("both").alias("in_hub"))
     left = left.withColumns(dict(zip("ab", pair("class", "__hub")))).join(known, ["a", "b"], "left")
     in_hub = F.when(F.col("class") == F.col("__hub"), F.col("n")).otherwise(F.col("in_hub"))
-    left = written(left.withColumn("in_hub", in_hub).select("key", "class", "n", "root", "common", "in_hub"), "unsettled")
-    x, y = left.alias("x"), left.alias("y")
+    left = left.withColumn("in_hub", in_hub).select("key", "class", "n", "root", "common", "in_hub")
+    # blocks: members of a full bucket meet block by block, each two blocks in a task of their own
+    last = left.groupBy("key").agg((F.ceil(F.count(F.lit(1)) / BLOCK) - 1).alias("last"))
+    left = written(left.join(last, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.col("last") + 1)), "unsettled")
+    x = left.withColumn("hi", F.explode(F.sequence("block", "last"))).withColumnRenamed("block", "lo").alias("x")
+    y = left.withColumn("lo", F.explode(F.sequence(F.lit(0).cast("long"), "block"))).withColumnRenamed("block", "hi").alias("y")
+    met = (F.col("x.key") == F.col("y.key")) & (F.col("x.lo") == F.col("y.lo")) & (F.col("x.hi") == F.col("y.hi"))
+    once = (F.col("x.lo") < F.col("x.hi")) | (F.col("x.class") < F.col("y.class"))
     parts = F.least("x.in_hub", "y.in_hub") + F.least(F.col("x.common") - F.col("x.in_hub"), F.col("y.common") - F.col("y.in_hub"))
     known_both = F.col("x.in_hub").isNotNull() & F.col("y.in_hub").isNotNull()
     bound = F.when(known_both, F.least(parts, "x.common", "y.common")).otherwise(F.least("x.common", "y.common"))
     enough = (100 + percent) * bound >= percent * (F.col("x.n") + F.col("y.n"))
-    cross = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.class") < F.col("y.class")) & (F.col("x.root") != F.col("y.root")) & enough)
-    rest = written(cross.select(F.col("x.class").alias("a"), F.col("y.class").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+    cross = x.join(y, met & once & (F.col("x.root") != F.col("y.root")) & enough)
+    rest = written(cross.select(*pair("x.class", "y.class")).distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
     roots = components(links(tried.union(measured(rest, sets))))
 
     smallest = classes.select("class", "id").join(roots, F.col("class") == F.col("node"), "left").select("class", "id", F.coalesce("root", "class").alias("root"))

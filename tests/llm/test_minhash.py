@@ -56,6 +56,20 @@ def test_group_of_near_copies_with_chains(spark):
     assert got(spark, docs) == brute(docs)
 
 
+def test_full_buckets_meet_in_blocks(spark, monkeypatch):
+    """Many texts of one template, few of them similar: buckets stay open to the last step."""
+    monkeypatch.setattr(M, "BLOCK", 4)
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(160)]
+    docs = []
+    for i in range(90):
+        own = list(base)
+        for at in rng.sample(range(8, 150, 12), rng.choice([2, 3, 4])):
+            own[at] = rng.choice(["x", "y"])
+        docs.append((i, " ".join(own)))
+    assert got(spark, docs) == brute(docs)
+
+
 def test_edges_nulls_and_repeats(spark):
     docs = [(1, "A b C"), (2, "a b c"), (3, "a b"), (4, ""), (5, None), (6, " \t\n"), (7, "x"), (7, "x"), (7, "y z"), (8, " nbsp stays a word"), (9, "É é"), (10, "é é")]
     assert got(spark, docs) == brute(docs)
