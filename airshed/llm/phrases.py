@@ -13,11 +13,11 @@ smaller id; the first document that holds a passage keeps it.
 3. Where a seed has several segments, their windows must be compared. Each such segment's
    words are read once, from its first holder, and go to a shard by seed. There the windows
    in two or more segments are confirmed, compiled into an automaton (pyahocorasick, one
-   letter per distinct word), and every segment is streamed through it; each occurrence
-   tells the smallest id that holds the window. The number of shards follows the number of
-   segments. A seed with more than HOT segments (a passage in very many surroundings) would
-   overfill a shard; its windows are matched by an aggregate on the window's words instead,
-   which holds no group in memory.
+   letter per distinct word), and every segment is streamed through it by ascending id; the
+   first occurrence names a window's holder, the later ones are repeats. The number of shards
+   follows the number of segments. A seed with more than HOT segments (a passage in very
+   many surroundings) would overfill a shard; its windows are matched by an aggregate on the
+   window's words instead, which holds no group in memory.
 4. Each document joins what was found and drops the covered words.
 
 A null text has no words; a null doc_id comes after all others (in an order fixed by the
@@ -137,30 +137,36 @@ def _letters(segments: list[list[bytes]]):
     return ["".join(chr(skip + x // half) + chr(skip + half + x % half) for x in s) for s in numbers], 2
 
 
+def _recurring(texts: list[str], size: int, width: int) -> list[str]:
+    """The windows that are in two or more of the segments."""
+    seen: set[str] = set()
+    again: set[str] = set()
+    for text in texts:
+        own = {text[j : j + size] for j in range(0, len(text) - size + 1, width)}
+        again |= own & seen
+        seen |= own
+    return list(again)
+
+
 def _locate(window: int):
     def shard(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
         held = table.column("id").to_pylist()
         texts, width = _letters([s.split() for s in table.column("segment").to_pylist()])
         size = window * width
-        smallest: dict[str, int] = {}
-        confirmed = set()
-        for text, own in zip(texts, held):
-            for j in range(0, len(text) - size + 1, width):
-                w = text[j : j + size]
-                other = smallest.setdefault(w, own)
-                if other is not own:
-                    confirmed.add(w)
-                    if own < other:
-                        smallest[w] = own
         found = [[own] * ((len(t) - size) // width + 1) for t, own in zip(texts, held)]
+        confirmed = _recurring(texts, size, width)
         if confirmed:
             automaton = ahocorasick.Automaton()
-            for w in confirmed:
-                automaton.add_word(w, smallest[w])
+            for i, w in enumerate(confirmed):
+                automaton.add_word(w, i)
             automaton.make_automaton()
-            for text, out in zip(texts, found):
-                for end, holder in automaton.iter(text):
-                    out[(end + 1 - size) // width] = holder
+            first = [None] * len(confirmed)  # smallest id that holds it: ids ascend
+            for text, own, out in zip(texts, held, found):
+                for end, i in automaton.iter(text):
+                    if first[i] is None:
+                        first[i] = own
+                    out[(end + 1 - size) // width] = first[i]
         return pa.table({"seed": table.column("seed"), "segment_hash": table.column("segment_hash"), "holders": pa.array(found, pa.list_(pa.int64()))})
 
     return shard
