@@ -83,3 +83,32 @@ def test_scores_equal_plain_loops_however_the_rows_are_dealt(spark):
     docs = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
     a, b = X.fit(docs.repartition(7), labels.repartition(3)), X.fit(docs.coalesce(1), labels)
     assert (a.prints == b.prints).all() and all((m.embeddings == n.embeddings).all() for m, n in zip(a.networks, b.networks)) and (a.shifts == b.shifts).all()
+
+
+def test_every_labelled_text_counts(spark, monkeypatch):
+    """Words in three of 4,200 texts all have an embedding, whichever parts train them; a sample of 4,000 texts would miss some."""
+    monkeypatch.setattr(X, "PART", 700)
+    rows = [(3 * i, f"w{i // 3} u{i}a u{i}b u{i}c " + ("awful" if i % 8 == 0 else "fine"), int(i % 8 == 0)) for i in range(4200 * 2)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    times = {}
+    for _, text, _ in rows:
+        for w in set(text.split()):
+            times[w] = times.get(w, 0) + 1
+    import pyarrow as pa
+
+    model = X.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    found = set(model.prints.tolist())
+    own = [w for w, n in times.items() if n >= X.LEAST_TEXTS]
+    held = sum(int(next(X._hashed(pa.array([w])))[2][0]) in found for w in own)
+    assert len(rows) > 5000 and held >= 0.995 * len(own) and len(found) <= len(own)  # two words may share a bucket
+    got = {r.text: r.score for r in X.score(spark.createDataFrame([(1, "u1a awful"), (2, "u2a fine")], "doc_id long, text string"), model).collect()}
+    assert got["u1a awful"] >= X.CUT > got["u2a fine"]
+
+
+def test_long_texts_are_learnt_from(spark):
+    rng = random.Random(5)
+    rows = [(i, f"{'vile' if i % 2 else 'kind'} " + " ".join(f"word{rng.randrange(4000)}" for _ in range(3000)), i % 2) for i in range(60)]
+    assert min(len(t) for _, t, _ in rows) > 20_000
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    assert X.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic")) is not None
