@@ -122,3 +122,10 @@ def test_linear_frames_and_pushed_day_in_plan(spark):
     assert "window" in plan and "unboundedfollowing" not in plan and "rangeframe" not in plan and "nestedloop" not in plan and "cartesian" not in plan
     optimized = FC.forecast_pair_stats(f, c, "2024-01-10")._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count(">= 2024-01-10") + optimized.count(">= 19732") >= 2  # both sides
+
+
+def test_running_sums_are_taken_on_narrow_rows(spark):
+    """The key's totals, an array per row, are joined after the windows, so no window's sort holds them."""
+    f, c = _frames(spark, 3, "integers")
+    plan = FC.forecast_pair_stats(f, c, "2024-01-10")._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Join ") < plan.index("Window ")
