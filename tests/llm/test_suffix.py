@@ -78,3 +78,34 @@ def test_long_text_in_parts(spark, monkeypatch):
     cover = [p for lo, n in parts for p in range(lo, lo + n)]
     assert sorted(cover) == list(range(len(text) - 99)) == sorted(p for lo, n in whole for p in range(lo, lo + n))
     assert want[0][1] > 1000
+
+
+def test_written_tables_have_few_files(spark, monkeypatch, tmp_path):
+    """What is little beside what was read for it needs no file for each partition of that."""
+    import random
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(4000)) for _ in range(60)]
+    texts += [texts[0][:700] + "x" + texts[1][:700], texts[2]]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], SCHEMA).repartition(8)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = dict(enumerate(brute([t.encode() for t in texts], 400)))
+    files, write = {}, suffix.written
+
+    def counted(df, name):
+        out = write(df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(suffix, "written", counted)
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        suffix.op3_suffix_array_dedup(spark, str(tmp_path)).write.parquet(f"{tmp_path}/out")
+    finally:
+        for k in sizes:
+            spark.conf.unset(k)
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert {r[0]: tuple(r[1:]) for r in out.collect()} == want
+    assert files["ranks"] <= 2 and files["twice"] <= 2 and len(out.inputFiles()) < 8, files
